@@ -65,14 +65,17 @@ LINE_BREAK = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
 
 URL_OR_LINK = rf"\[[^\]]*\]\([^)]+\)|https?://[^{WS}]+|www\.[^{WS}]+"
 
-ERROR_PAGE = (
-    rf"oops[,!]?[{WS}]*something[{WS}]+went[{WS}]+wrong"
-    rf"|temporarily[{WS}]+down[{WS}]+for[{WS}]+maintenance"
-    rf"|access[{WS}]+denied"
-    rf"|page[{WS}]+not[{WS}]+found"
-    rf"|\b404[{WS}]+not[{WS}]+found\b"
-    rf"|sign[{WS}]+in[{WS}]+to[{WS}]+(?:read|continue)"
-    rf"|subscribe[{WS}]+to[{WS}]+(?:read|continue)"
+# A phrase comes with fragments: pieces of every match of it, in lower case, without the letters
+# that have case variants outside ASCII (i, k, s).
+_GAP = rf"(?U:[{WS}])+"
+ERROR_PHRASES = (
+    (rf"oops[,!]?(?U:[{WS}])*something{_GAP}went{_GAP}wrong", ("oop", "wrong")),
+    (rf"temporarily{_GAP}down{_GAP}for{_GAP}maintenance", ("temporar", "down")),
+    (rf"access{_GAP}denied", ("acce", "den")),
+    (rf"page{_GAP}not{_GAP}found", ("page", "not", "found")),
+    (rf"404(?<!(?U:\w)404){_GAP}not{_GAP}found(?!(?U:\w))", ("404", "not", "found")),
+    (rf"sign{_GAP}in{_GAP}to{_GAP}(?:read|continue)", ("gn", "to")),
+    (rf"subscribe{_GAP}to{_GAP}(?:read|continue)", ("ub", "cr", "be", "to")),
 )
 
 DATE_FORMS = (
@@ -82,17 +85,22 @@ DATE_FORMS = (
 )
 
 BLOCK_PHRASES = (
-    r"are you a (?:human|robot)",
-    r"verifying you are human",
-    r"access denied",
-    r"oops, something went wrong",
-    r"please enable (?:js|javascript)",
-    r"unsupported browser",
-    r"captcha",
-    r"cloudflare",
+    (r"are you a (?:human|robot)", ("are you a ",)),
+    (r"verifying you are human", ("ng you are human",)),
+    (r"access denied", ("acce", "den")),
+    (r"oops, something went wrong", ("oop", "ng went wrong")),
+    (r"please enable (?:js|javascript)", ("plea", "e enable ")),
+    (r"unsupported browser", ("upported brow",)),
+    (r"captcha", ("captcha",)),
+    (r"cloudflare", ("cloudflare",)),
 )
 
 NAV_PHRASES = (
-    r"skip to (?:navigation|main content|right column)|sign in|subscribe|"
-    r"shopping\.|newsletters|horoscope|games"
+    (r"skip to (?:navigation|main content|right column)", ("p to ",)),
+    (r"sign in", ("gn ",)),
+    (r"subscribe", ("ub", "cr", "be")),
+    (r"shopping\.", ("hopp", "ng.")),
+    (r"newsletters", ("new", "letter")),
+    (r"horoscope", ("horo", "cope")),
+    (r"games", ("game",)),
 )

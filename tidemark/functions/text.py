@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 from tidemark.constants import (
     BLOCK_PHRASES,
     BLOCK_SCAN_CHARS,
-    ERROR_PAGE,
+    ERROR_PHRASES,
     JUNK_RATIO_CAP,
     NAV_PHRASES,
     PREVIEW_CHARS,
@@ -69,6 +70,22 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
+def may_hold(text: Column, fragments: Sequence[str]) -> Column:
+    """The lower-cased text has all fragments: a cheap test that every match passes."""
+    lowered = F.lower(text)
+    return reduce(lambda a, b: a & b, [lowered.contains(f) for f in fragments])
+
+
+def has_any(text: Column, phrases: Sequence[tuple[str, Sequence[str]]]) -> Column:
+    """The text matches at least one phrase, ignoring case.
+
+    Substring tests on bytes are far cheaper than patterns, so a phrase's pattern only runs on
+    texts that hold its fragments.
+    """
+    found = [may_hold(text, parts) & text.rlike("(?iu)" + p) for p, parts in phrases]
+    return reduce(lambda a, b: a | b, found)
+
+
 def url_junk_ratio(text: Column) -> Column:
     """Share of characters inside markdown links or URLs; null and empty give 0."""
     covered = F.aggregate(
@@ -76,7 +93,9 @@ def url_junk_ratio(text: Column) -> Column:
         F.lit(0),
         lambda acc, match: acc + F.length(match),
     )
-    return F.when(F.length(text) > 0, covered / F.length(text)).otherwise(F.lit(0.0))
+    # Plain substring tests first: most texts hold no link, and the pattern is the costly part.
+    may_match = text.contains("](") | text.contains("://") | text.contains("www.")
+    return F.when(may_match, covered / F.length(text)).otherwise(F.lit(0.0))
 
 
 def passes_junk(text: Column) -> Column:
@@ -86,12 +105,13 @@ def passes_junk(text: Column) -> Column:
 
 def is_error_page(text: Column) -> Column:
     """The text reads like an error, maintenance or paywall page; null does not."""
-    return F.coalesce(text.rlike("(?iU)" + ERROR_PAGE), F.lit(False))
+    return F.coalesce(has_any(text, ERROR_PHRASES), F.lit(False))
 
 
 def nav_junk_ratio(text: Column) -> Column:
     """Navigation phrases per 200 words; null and empty give 1."""
-    hits = F.regexp_count(text, F.lit("(?iU)" + NAV_PHRASES))
+    all_phrases = F.regexp_count(text, F.lit("(?iu)" + "|".join(p for p, _ in NAV_PHRASES)))
+    hits = F.when(has_any(text, NAV_PHRASES), all_phrases).otherwise(0)
     n_words = F.greatest(F.size(words(text)), F.lit(1))
     return F.when(F.length(text) > 0, hits / (n_words / 200.0)).otherwise(F.lit(1.0))
 
@@ -100,11 +120,12 @@ def detect_block(text: Column) -> Column:
     """The bot-wall phrase found near the top, by phrase priority; null when there is none."""
     head = F.left(text, F.lit(BLOCK_SCAN_CHARS))
     found = [
-        F.nullif(F.regexp_extract(head, "(?iU)" + phrase, 0), F.lit(""))
-        for phrase in BLOCK_PHRASES
+        F.when(
+            may_hold(head, parts), F.nullif(F.regexp_extract(head, "(?iu)" + phrase, 0), F.lit(""))
+        )
+        for phrase, parts in BLOCK_PHRASES
     ]
-    any_phrase = "(?iU)" + "|".join(BLOCK_PHRASES)
-    return F.when(head.rlike(any_phrase), F.coalesce(*found))
+    return F.coalesce(*found)
 
 
 def probe_verdict(chars: Column, links: Column, block: Column) -> Column:
@@ -134,8 +155,3 @@ def first_truthy(*values: Column) -> Column:
 def first_nonzero(*values: Column) -> Column:
     """First number that is neither null nor zero (NaN counts as a value)."""
     return F.coalesce(*[F.nullif(value, F.lit(0).cast("double")) for value in values])
-
-
-def all_of(conditions: list[Column]) -> Column:
-    """Conjunction of the conditions; true when there are none."""
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))

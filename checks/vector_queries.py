@@ -166,7 +166,7 @@ def similar_pairs(spark, sf):
 
 @check("connected_labels", S.LABELS + " SELECT id, label FROM labels", ("v3",))
 def _(spark, sf):
-    return clusters.connected_labels(_links(spark, sf), left="left_id", right="right_id")
+    return clusters.connected_labels(_links(spark, sf).where("connects"), left="left_id", right="right_id")
 
 
 _SUMMARY = S.LABELS + """, sizes AS (SELECT label AS cluster_id, count(*) AS size FROM labels GROUP BY label),
@@ -177,7 +177,7 @@ best AS (SELECT label AS cluster_id, max(similarity) AS s FROM pairs JOIN labels
 @check("cluster_summary", _SUMMARY + " SELECT * FROM summary", ("v3",))
 def _(spark, sf):
     links = _links(spark, sf)
-    labels = clusters.connected_labels(links, left="left_id", right="right_id")
+    labels = clusters.connected_labels(links.where("connects"), left="left_id", right="right_id")
     summary = clusters.cluster_summary(labels, links)
     return summary.withColumn("max_similarity", F.round("max_similarity", 5))
 
@@ -189,7 +189,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     links = _links(spark, sf)
-    labels = clusters.connected_labels(links, left="left_id", right="right_id")
+    labels = clusters.connected_labels(links.where("connects"), left="left_id", right="right_id")
     members = clusters.cluster_members(labels, links)
     return members.withColumn("max_similarity", F.round("max_similarity", 5))
 

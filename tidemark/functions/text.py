@@ -70,20 +70,22 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def may_hold(text: Column, fragments: Sequence[str]) -> Column:
-    """The lower-cased text has all fragments: a cheap test that every match passes."""
-    lowered = F.lower(text)
-    return reduce(lambda a, b: a & b, [lowered.contains(f) for f in fragments])
-
-
-def has_any(text: Column, phrases: Sequence[tuple[str, Sequence[str]]]) -> Column:
+def has_any(
+    text: Column, phrases: Sequence[tuple[str, Sequence[str]]], lowered: Column | None = None
+) -> Column:
     """The text matches at least one phrase, ignoring case.
 
     Substring tests on bytes are far cheaper than patterns, so a phrase's pattern only runs on
-    texts that hold its fragments.
+    texts that hold its fragments. ``lowered`` is the lower-cased text where it is at hand.
     """
-    found = [may_hold(text, parts) & text.rlike("(?iu)" + p) for p, parts in phrases]
-    return reduce(lambda a, b: a | b, found)
+    low = F.lower(text) if lowered is None else lowered
+
+    def found(pattern: str, fragments: Sequence[str]) -> Column:
+        return reduce(lambda a, b: a & b, [low.contains(f) for f in fragments]) & text.rlike(
+            "(?iu)" + pattern
+        )
+
+    return reduce(lambda a, b: a | b, [found(*phrase) for phrase in phrases])
 
 
 def url_junk_ratio(text: Column) -> Column:
@@ -103,9 +105,9 @@ def passes_junk(text: Column) -> Column:
     return url_junk_ratio(text) <= JUNK_RATIO_CAP
 
 
-def is_error_page(text: Column) -> Column:
+def is_error_page(text: Column, lowered: Column | None = None) -> Column:
     """The text reads like an error, maintenance or paywall page; null does not."""
-    return F.coalesce(has_any(text, ERROR_PHRASES), F.lit(False))
+    return F.coalesce(has_any(text, ERROR_PHRASES, lowered), F.lit(False))
 
 
 def nav_junk_ratio(text: Column) -> Column:
@@ -120,10 +122,8 @@ def detect_block(text: Column) -> Column:
     """The bot-wall phrase found near the top, by phrase priority; null when there is none."""
     head = F.left(text, F.lit(BLOCK_SCAN_CHARS))
     found = [
-        F.when(
-            may_hold(head, parts), F.nullif(F.regexp_extract(head, "(?iu)" + phrase, 0), F.lit(""))
-        )
-        for phrase, parts in BLOCK_PHRASES
+        F.when(has_any(head, [phrase]), F.regexp_extract(head, "(?iu)" + phrase[0], 0))
+        for phrase in BLOCK_PHRASES
     ]
     return F.coalesce(*found)
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from hashlib import md5
 from typing import Protocol
 
 import numpy as np
@@ -118,13 +119,19 @@ def _whitespace_decode(tokens: Column) -> Column:
     return clean_text(F.array_join(tokens, " "), unescape=False)
 
 
+def _term_codes(terms_of_batch: pa.Array) -> np.ndarray:
+    """First four bytes of each term's MD5 as an unsigned number."""
+    digests = [md5(term.encode()).digest()[:4] for term in terms_of_batch.to_pylist()]
+    return np.frombuffer(b"".join(digests), dtype=">u4").astype(np.int64)
+
+
 @dataclass(frozen=True)
 class HashedEmbedder:
     """Signed hashed bag of words, the built-in model.
 
-    Spark tokenises and hashes (MD5, so any SQL engine can repeat it); numpy only counts the
-    hashed terms of a batch and scales each row to unit length. There is no shuffle, and the
-    whole text counts.
+    Spark splits the text into terms; a batch's distinct terms are hashed once (MD5, so any SQL
+    engine can repeat it), counted per bucket and scaled to unit length with numpy. There is no
+    shuffle, and the whole text counts.
     """
 
     dim: int = EMBEDDING_DIM
@@ -132,33 +139,23 @@ class HashedEmbedder:
     special_tokens: int = 0
     model_name: str = "hashed-bag-of-words"
 
-    def slots(self, text: Column) -> Column:
-        """Per term, bucket + 1, negative for a negative sign."""
-
-        def slot(term: Column) -> Column:
-            code = F.conv(F.left(F.md5(term), F.lit(8)), 16, 10).cast("long")
-            bucket = (code % self.dim + 1).cast("int")
-            return F.when(F.floor(code / self.dim) % 2 == 0, bucket).otherwise(-bucket)
-
-        return F.transform(terms(F.coalesce(text, F.lit(""))), slot)
-
     def embed(self, text: Column) -> Column:
         dim = self.dim
 
         @F.arrow_udf(VECTOR)
-        def count(slots: pa.Array) -> pa.Array:
-            sizes = pa.compute.list_value_length(slots).to_numpy()
-            flat = slots.flatten().to_numpy()
-            cell = np.repeat(np.arange(len(sizes)), sizes) * dim + np.abs(flat) - 1
-            counts = np.bincount(
-                cell, weights=np.sign(flat), minlength=len(sizes) * dim
-            ).reshape(-1, dim)
+        def count(batch: pa.Array) -> pa.Array:
+            sizes = pa.compute.list_value_length(batch).to_numpy()
+            encoded = batch.flatten().dictionary_encode()
+            codes = _term_codes(encoded.dictionary)[encoded.indices.to_numpy()]
+            cell = np.repeat(np.arange(len(sizes)), sizes) * dim + codes % dim
+            sign = np.where(codes // dim % 2 == 0, 1.0, -1.0)
+            counts = np.bincount(cell, weights=sign, minlength=len(sizes) * dim).reshape(-1, dim)
             norms = np.maximum(np.sqrt((counts * counts).sum(axis=1, keepdims=True)), 1e-12)
             unit = (counts / norms).astype(np.float32).ravel()
             offsets = np.arange(len(sizes) + 1, dtype=np.int32) * dim
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit))
 
-        return count(self.slots(text))
+        return count(terms(F.coalesce(text, F.lit(""))))
 
     def encode(self, text: Column) -> Column:
         return words(text)

@@ -42,6 +42,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return neighbours.union(lowest.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Every node is either a root or linked to exactly one root; one aggregation."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    roles = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return roles.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
+
+
 def connected_labels(
     edges: DataFrame, *, left: str, right: str, max_rounds: int = MAX_ROUNDS
 ) -> DataFrame:
@@ -51,17 +60,16 @@ def connected_labels(
     one key, no group is gathered anywhere, and the number of rounds grows with the logarithm
     of the graph size rather than its diameter. Raises when ``max_rounds`` do not suffice.
     """
-    current = edges.select(F.col(left).alias("u"), F.col(right).alias("v"))
+    current = edges.select(
+        F.greatest(left, right).alias("u"), F.least(left, right).alias("v")
+    )
     current = cut_lineage(current.where(F.col("u") != F.col("v")).distinct())
-    before = None
     for _ in range(max_rounds):
-        current = cut_lineage(_small_star(_large_star(current)))
-        state = current.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == before:
+        if _all_stars(current):
             stars = current.select(F.col("u").alias("id"), F.col("v").alias("label"))
             roots = current.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()
             return stars.unionByName(roots)
-        before = state
+        current = cut_lineage(_small_star(_large_star(current)))
     raise RuntimeError(f"connected groups not settled after {max_rounds} rounds")
 
 
@@ -120,7 +128,7 @@ def title_duplicate_members(
     links = stage(
         similarity_links(titles, id_col="id", vector="vector", threshold=threshold), "title-links"
     )
-    labels = connected_labels(links, left="left_id", right="right_id")
+    labels = connected_labels(links.where("connects"), left="left_id", right="right_id")
 
     length = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
     labelled = titles.select("id", "title", "copies", length.alias("own")).join(labels, "id", "left")

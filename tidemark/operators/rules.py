@@ -20,6 +20,7 @@ from tidemark.functions.text import is_error_page, passes_junk
 
 REASONS = "_failure_reasons"
 _DUPLICATED = "_id_duplicated"
+_LOWERED = "_text_lowered"
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,9 @@ def bronze_rules(*, unique_id: bool = True) -> list[Rule]:
             F.length(text).between(TEXT_CHAR_FLOOR, TEXT_CHAR_CAP),
         ),
         _when_present("text", f"junk_ratio_le_{JUNK_RATIO_CAP}", passes_junk(text)),
-        _when_present("text", "no_error_page_sentinel", ~is_error_page(text)),
+        _when_present(
+            "text", "no_error_page_sentinel", ~is_error_page(text, F.col(_LOWERED))
+        ),
         _when_present(
             "relevance_score", f"ge_{RELEVANCE_FLOOR}", F.col("relevance_score") >= RELEVANCE_FLOOR
         ),
@@ -101,14 +104,17 @@ def with_duplicate_flag(df: DataFrame, key: str = "bronze_id") -> DataFrame:
 
 def failure_reasons(rules: Sequence[Rule]) -> Column:
     """The reasons a row fails, in rule order; empty when it passes."""
-    return F.array_compact(F.array(*[F.when(r.failed, F.lit(r.reason)) for r in rules]))
+    none = F.array().cast("array<string>")
+    # Plain arrays rather than a lambda over them: this compiles, a lambda would be interpreted.
+    return F.concat(*[F.when(r.failed, F.array(F.lit(r.reason))).otherwise(none) for r in rules])
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
     """Evaluate every rule on every row, in one pass, into ``_failure_reasons``."""
     if rules is None:
         df, rules = with_duplicate_flag(df), bronze_rules()
-    return df.withColumn(REASONS, failure_reasons(rules)).drop(_DUPLICATED)
+    prepared = df.withColumn(_LOWERED, F.lower("text"))
+    return prepared.withColumn(REASONS, failure_reasons(rules)).drop(_DUPLICATED, _LOWERED)
 
 
 def failed_rows(checked: DataFrame, run_id: str) -> DataFrame:
@@ -116,19 +122,30 @@ def failed_rows(checked: DataFrame, run_id: str) -> DataFrame:
     return checked.where(F.size(REASONS) > 0).withColumn("_quality_run_id", F.lit(run_id))
 
 
-def check_summary(checked: DataFrame) -> DataFrame:
-    """Failed rows per (column, check), most first."""
-    return (
-        checked.select(F.explode(REASONS).alias("reason"))
-        .groupBy("reason")
-        .agg(F.count("*").alias("failed"))
-        .select(
-            F.substring_index("reason", ": ", 1).alias("column"),
-            F.expr("substring(reason, instr(reason, ': ') + 2)").alias("check"),
-            "failed",
-        )
-        .orderBy(F.desc("failed"), "column", "check")
+def check_summary(checked: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
+    """Failed rows per (column, check), most first.
+
+    One count per rule in a single aggregate: reasons are never exploded into rows.
+    """
+    named = list(rules or bronze_rules())
+    counts = checked.agg(
+        *[
+            F.count_if(F.array_contains(REASONS, r.reason)).alias(f"_{i}")
+            for i, r in enumerate(named)
+        ]
+    )
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(r.column).alias("column"),
+                F.lit(r.check).alias("check"),
+                F.col(f"_{i}").alias("failed"),
+            )
+            for i, r in enumerate(named)
+        ]
     )
+    summary = counts.select(F.inline(entries)).where(F.col("failed") > 0)
+    return summary.orderBy(F.desc("failed"), "column", "check")
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -212,18 +212,20 @@ def _pairs_schema(id_type: T.DataType) -> T.StructType:
             T.StructField("left_id", id_type),
             T.StructField("right_id", id_type),
             T.StructField("similarity", T.DoubleType()),
+            T.StructField("connects", T.BooleanType()),
         ]
     )
 
 
-def _pair_table(ids, left, right, sims) -> pa.Table:
+def _pair_table(ids, left, right, sims, connects) -> pa.Table:
     a, b = ids.take(pa.array(left)), ids.take(pa.array(right))
     swap = pa.compute.greater(a, b)
     return pa.table(
         {
             "left_id": pa.compute.if_else(swap, b, a),
             "right_id": pa.compute.if_else(swap, a, b),
-            "similarity": pa.array(sims, pa.float64()),
+            "similarity": pa.array(sims, pa.float64(), mask=np.isnan(sims)),
+            "connects": pa.array(connects, pa.bool_()),
         }
     )
 
@@ -251,6 +253,7 @@ def _spanning_links(n: int, left: np.ndarray, right: np.ndarray, sims: np.ndarra
         np.concatenate([label[spokes], left[best]]),
         np.concatenate([spokes, right[best]]),
         np.concatenate([np.full(len(spokes), np.nan), sims[best]]),
+        np.concatenate([np.ones(len(spokes), bool), np.zeros(len(best), bool)]),
     )
 
 
@@ -261,17 +264,17 @@ def _join(vectors: DataFrame, threshold: float, block_rows: int, *, links: bool)
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = pa.Table.from_batches(list(batches))  # one task: about two blocks
         ids, left, right, sims = _close_pairs(block, threshold)
+        connects = np.ones(len(sims), bool)
         if links:
-            left, right, sims = _spanning_links(len(ids), left, right, sims)
-        yield from _pair_table(ids, left, right, sims).to_batches()
+            left, right, sims, connects = _spanning_links(len(ids), left, right, sims)
+        yield from _pair_table(ids, left, right, sims, connects).to_batches()
 
     schema = _pairs_schema(vectors.schema["id"].dataType)
-    pairs = (
+    return (
         _block_tasks(vectors, threshold, block_rows)
         .groupBy("cell", "kind", "i", "j")
         .applyInArrow(compare, schema)
     )
-    return pairs.withColumn("similarity", F.nanvl("similarity", F.lit(None).cast("double")))
 
 
 def _copies(df: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
@@ -285,7 +288,7 @@ def _copies(df: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
         df.withColumnRenamed("id", "right_id")
         .join(reps.withColumnRenamed("id", "left_id"), "vector")
         .where(F.col("left_id") != F.col("right_id"))
-        .select("left_id", "right_id", length.alias("similarity"))
+        .select("left_id", "right_id", length.alias("similarity"), F.lit(True).alias("connects"))
         .where(F.col("similarity") >= threshold)
     )
 
@@ -309,7 +312,8 @@ def similar_pairs(
     Copies of one vector are not paired with each other nor with its partners: the
     representative (smallest id) stands for them. Vectors must have unit length.
     """
-    return _pairs_and_copies(df, id_col, vector, threshold, block_rows, links=False)
+    pairs = _pairs_and_copies(df, id_col, vector, threshold, block_rows, links=False)
+    return pairs.drop("connects")
 
 
 def similarity_links(
@@ -318,6 +322,7 @@ def similarity_links(
     """Links with the same connected groups and the same best similarity per group as all pairs.
 
     Each task sends a number of links linear in its vectors, even when all of them are close.
-    ``similarity`` is null where the link only connects. Vectors must have unit length.
+    The links with ``connects`` make up the groups; the others, and copies, carry the
+    ``similarity``. Vectors must have unit length.
     """
     return _pairs_and_copies(df, id_col, vector, threshold, block_rows, links=True)

@@ -15,6 +15,7 @@ from tidemark.operators.clusters import title_duplicate_members
 from tidemark.operators.drift import run_drift
 from tidemark.operators.rules import (
     REASONS,
+    Rule,
     apply_rules,
     bronze_rules,
     failed_rows,
@@ -49,6 +50,7 @@ def run_bronze_checks(
     *,
     current: DataFrame,
     history: DataFrame | None,
+    rules: Sequence[Rule] | None = None,
     embedder: Embedder | None = None,
     duplicate_threshold: float = TITLE_SIMILARITY,
 ) -> QualityResult:
@@ -61,7 +63,7 @@ def run_bronze_checks(
     this_run = run_id("qrun", "bronze", started_at)
     counts = quality_counts(checked).first()
     summary = schema_findings(checked, BRONZE) + [
-        row.asDict() for row in summarize_failures(checked).collect()  # at most one per rule
+        row.asDict() for row in summarize_failures(checked, rules).collect()  # at most one per rule
     ]
     nulls = {r["column"]: r["nulls"] for r in null_counts(checked, BRONZE.fieldNames()).collect()}
     drift = stage(run_drift(current, history), "drift")
@@ -173,7 +175,7 @@ def _ingest(
         if validate and totals["loaded"]:
             history = lake.read(tables.BRONZE) if lake.exists(tables.BRONZE) else None
             result = run_bronze_checks(
-                batch, current=batch.where(~F.col(_KNOWN)), history=history, embedder=embedder
+                batch, current=batch.where(~F.col(_KNOWN)), history=history, rules=rules, embedder=embedder
             )
             write_quarantine(result.failures, lake)
             append_quality_run(result, lake)

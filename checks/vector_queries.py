@@ -107,7 +107,10 @@ _LONG = "unnest({v}) AS value, generate_subscripts({v}, 1)::INTEGER - 1 AS pos"
 
 
 def _elements(df, key):
-    return df.select(key, F.posexplode("embedding").alias("pos", "value")).withColumn(
+    """(key, pos, value) rows of the nonzero vector elements."""
+    entries = F.transform("embedding", lambda x, i: F.struct(i.alias("pos"), x.alias("value")))
+    nonzero = F.filter(entries, lambda e: e["value"] != 0)
+    return df.select(key, F.inline(nonzero)).withColumn(
         "value", F.round(F.col("value").cast("double"), 5) + F.lit(0.0)  # no negative zero
     )
 
@@ -117,7 +120,7 @@ def _elements(df, key):
     """, twice AS (SELECT chunk_id, list_transform(embedding, lambda x: (x * 3)::FLOAT::DOUBLE) AS v FROM v3),
 unit AS (SELECT chunk_id, list_transform(v, lambda x: (x / sqrt(list_dot_product(v, v)))::FLOAT) AS u FROM twice),
 long AS (SELECT chunk_id, unnest(u) AS value, generate_subscripts(u, 1) AS pos FROM unit)
-SELECT chunk_id, (pos - 1)::INTEGER AS pos, round(value::DOUBLE, 5) + 0.0::DOUBLE AS value FROM long""",
+SELECT chunk_id, (pos - 1)::INTEGER AS pos, round(value::DOUBLE, 5) + 0.0::DOUBLE AS value FROM long WHERE value <> 0""",
     ("v3",),
 )
 def _(spark, sf):
@@ -239,7 +242,7 @@ def _(spark, sf):
 def _(spark, sf):
     rows = spark.read.parquet(f"{sf}/documents.parquet")
     vectors = rows.select("doc_id", HashedEmbedder().embed(F.col("text")).alias("embedding"))
-    return _elements(vectors, "doc_id").where(F.col("value") != 0)
+    return _elements(vectors, "doc_id")
 
 
 SIZE, OVERLAP = 128, 16

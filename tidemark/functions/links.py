@@ -87,10 +87,15 @@ def resolve_link(href: Column, base: Column) -> Column:
 def extract_links(pages: DataFrame, *, html: str, base: str, keep: Sequence[str]) -> DataFrame:
     """One row per href: the ``keep`` columns, ``link``, ``is_internal`` and ``n_links`` of its page."""
     hrefs = F.regexp_extract_all(F.col(html), F.lit(r'href="([^"]*)"'), F.lit(1))
-    resolved = F.array_compact(F.transform(hrefs, lambda h: resolve_link(h, F.col(base))))
+    resolved = F.transform(hrefs, lambda h: resolve_link(h, F.col(base)))
+    found = F.filter(resolved, lambda link: link.isNotNull())
     return (
-        pages.select(*keep, F.col(base).alias("_base"), resolved.alias("_links"))
-        .select(*keep, "_base", F.size("_links").alias("n_links"), F.explode("_links").alias("link"))
+        pages.select(*keep, F.col(base).alias("_base"), found.alias("_links"))
+        .select(
+            *keep, "_base", F.size("_links").alias("n_links"),
+            # Exploding the bare column would make the optimizer resolve all links twice.
+            F.explode(F.array_compact("_links")).alias("link"),
+        )
         .select(
             *keep,
             "link",

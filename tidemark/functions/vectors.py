@@ -104,6 +104,7 @@ class Embedder(Protocol):
     dim: int
     max_tokens: int
     special_tokens: int
+    sparse: bool  # few nonzero elements for short texts
 
     def embed(self, text: Column) -> Column:
         """Text to a unit vector of ``dim`` floats; null counts as the empty text."""
@@ -138,6 +139,7 @@ class HashedEmbedder:
     max_tokens: int = MAX_TOKENS
     special_tokens: int = 0
     model_name: str = "hashed-bag-of-words"
+    sparse: bool = True
 
     def embed(self, text: Column) -> Column:
         dim = self.dim
@@ -181,6 +183,7 @@ class ModelEmbedder:
     batch_size: int = 8
     max_tokens: int = MAX_TOKENS
     special_tokens: int = 0
+    sparse: bool = False
     encoder: Callable[[Column], Column] = words
     decoder: Callable[[Column], Column] = _whitespace_decode
 

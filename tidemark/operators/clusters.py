@@ -125,9 +125,11 @@ def title_duplicate_members(
         .withColumn("vector", embedder.embed(F.col("title"))),
         "titles",
     )
-    links = stage(
-        similarity_links(titles, id_col="id", vector="vector", threshold=threshold), "title-links"
+    method = "keys" if embedder.sparse else "cells"
+    links = similarity_links(
+        titles, id_col="id", vector="vector", threshold=threshold, method=method
     )
+    links = stage(links, "title-links")
     labels = connected_labels(links.where("connects"), left="left_id", right="right_id")
 
     length = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)

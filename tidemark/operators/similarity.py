@@ -1,20 +1,25 @@
 """Exact similarity join of unit vectors, without a cross join.
 
-``cos(x, y) >= t`` is ``|x - y| <= eps`` with ``eps = sqrt(2 - 2t)``. The vectors are split
-into cells around pivot vectors, each vector at home in the cell of its nearest pivot. A vector
-also visits each lower-numbered cell that could hold a partner, by two bounds that never miss
-one (triangle inequality):
-
-* it lies within ``eps`` of the hyperplane between its own pivot and that cell's pivot;
-* its angle to that pivot is at most the cell's radius plus ``arccos(t)``.
-
-So each close pair meets in exactly one cell. Cells are cut into blocks of bounded size by a
-hash of the id, and a task compares two blocks with one matrix product: a cell holding a third
-of all vectors becomes many tasks of equal size. Equal vectors are collapsed beforehand, and
-are linked to one representative instead of to each other.
-
-How much the bounds prune depends on the data; with no cluster structure at all every vector
-visits most cells, and the work nears that of all comparisons.
+Two ways to bring close vectors together; neither misses a pair.
+
+``cells``, for dense vectors. ``cos(x, y) >= t`` is ``|x - y| <= eps`` with
+``eps = sqrt(2 - 2t)``. The vectors are split into cells around pivot vectors, each at home in
+the cell of its nearest pivot. A vector also visits each lower-numbered cell that could hold a
+partner, by two bounds (triangle inequality): it lies within ``eps`` of the hyperplane between
+the two pivots, and its angle to that cell's pivot is at most the cell's radius plus
+``arccos(t)``. How much this prunes depends on the data: with no cluster structure at all every
+vector visits most cells, and the work nears that of all comparisons.
+
+``keys``, for sparse vectors such as hashed words. If ``x . y >= t``, the dimensions of ``x``
+that ``y`` lacks hold at most ``1 - t*t`` of its squared length. So both vectors can name the
+first few dimensions they share, in one global order, by skipping no more than that. Each vector
+emits every such short list as a key; at high thresholds that is one key or a handful, and the
+work stays near linear.
+
+Either way a cell or key is cut into blocks of bounded size by a hash of the id, and a task
+compares two blocks with one matrix product: a cell holding a third of all vectors becomes many
+tasks of equal size. Equal vectors are collapsed beforehand, and are linked to one
+representative instead of to each other.
 """
 
 from __future__ import annotations
@@ -33,6 +38,7 @@ from tidemark.session import stage
 
 BLOCK_ROWS = 4096
 MAX_CELLS = 1024
+KEY_DIMS = 3
 _SLACK = 1e-4  # float32 rounding of "unit" vectors; widens the bounds, never the result
 
 
@@ -100,65 +106,114 @@ def distinct_vectors(df: DataFrame, *, id_col: str, vector: str) -> DataFrame:
     )
 
 
-def _block_tasks(vectors: DataFrame, threshold: float, block_rows: int) -> DataFrame:
-    """(task, side, id, vector) rows; each task holds at most about two blocks of vectors."""
-    spark = vectors.sparkSession
-    n = vectors.count()
-    n_cells = max(1, min(MAX_CELLS, n // block_rows))
+def _blocks(rows: str, block_rows: int) -> Column:
+    return F.ceil(F.coalesce(F.col(rows), F.lit(0)) / block_rows).cast("int")
+
+
+def _cell_members(
+    vectors: DataFrame, threshold: float, block_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """(id, vector, cell, at_home) rows, and the block counts of each cell."""
+    n_cells = max(1, min(MAX_CELLS, vectors.count() // block_rows))
     # Any distinct vectors can be pivots; the result does not depend on which.
     chosen = vectors.orderBy(F.xxhash64("id"), "id").limit(n_cells).select("vector").collect()
-    pivots = np.array([row[0] for row in chosen], dtype=np.float64)
-    if n == 0:
-        pivots = np.zeros((1, 1))
-    cells = _Cells(
-        pivots=pivots,
-        eps=math.sqrt(2.0 - 2.0 * threshold) + _SLACK,
-        theta=math.acos(threshold) + _SLACK,
-    )
-
-    if len(pivots) == 1:
-        placed = vectors.select(
-            "id", "vector", F.lit(0).alias("cell"), F.array().cast("array<int>").alias("visits")
-        )
+    if len(chosen) <= 1:
+        members = vectors.withColumn("cell", F.lit(0)).withColumn("at_home", F.lit(True))
+        sizes = members.groupBy("cell").agg(F.count("*").alias("h"), F.lit(0).alias("v"))
     else:
-        homes = stage(
-            vectors.withColumn("home", cells.home(F.col("vector"))).select(
-                "id", "vector", "home.*"
-            ),
-            "homes",
+        cells = _Cells(
+            pivots=np.array([row[0] for row in chosen], dtype=np.float64),
+            eps=math.sqrt(2.0 - 2.0 * threshold) + _SLACK,
+            theta=math.acos(threshold) + _SLACK,
         )
-        radii = np.full(len(pivots), -np.inf)
+        homes = vectors.withColumn("home", cells.home(F.col("vector")))
+        homes = stage(homes.select("id", "vector", "home.*"), "homes")
+        radii = np.full(len(chosen), -np.inf)
         for cell, radius in homes.groupBy("cell").agg(F.max("angle")).collect():  # <= MAX_CELLS
             radii[cell] = radius
-        placed = stage(
-            homes.withColumn(
-                "visits", cells.visits(F.col("vector"), F.col("cell"), radii)
-            ).select("id", "vector", "cell", "visits"),
-            "placed",
+        visits = cells.visits(F.col("vector"), F.col("cell"), radii)
+        placed = homes.select("id", "vector", "cell", visits.alias("visits"))
+        own = F.array(F.struct("cell", F.lit(True).alias("at_home")))
+        others = F.transform(
+            "visits", lambda c: F.struct(c.alias("cell"), F.lit(False).alias("at_home"))
         )
-
-    # Block counts per cell: at most MAX_CELLS rows.
-    def blocks(rows: str) -> Column:
-        return F.ceil(F.coalesce(F.col(rows), F.lit(0)) / block_rows).cast("int")
-
-    at_home = placed.groupBy("cell").agg(F.count("*").alias("h"))
-    visiting = placed.select(F.explode("visits").alias("cell")).groupBy("cell").agg(
-        F.count("*").alias("v")
+        members = stage(
+            placed.select("id", "vector", F.explode(F.concat(own, others)).alias("m")).select(
+                "id", "vector", "m.*"
+            ),
+            "members",
+        )
+        sizes = members.groupBy("cell").agg(
+            F.count_if("at_home").alias("h"), F.count_if(~F.col("at_home")).alias("v")
+        )
+    counts = sizes.select(
+        "cell",
+        _blocks("h", block_rows).alias("home_blocks"),
+        _blocks("v", block_rows).alias("visit_blocks"),
     )
-    sizes = at_home.join(visiting, "cell", "left").select(
-        "cell", blocks("h").alias("home_blocks"), blocks("v").alias("visit_blocks")
+    return members, F.broadcast(counts)  # at most MAX_CELLS rows
+
+
+def _shared_first_keys(
+    dims: np.ndarray, energy: np.ndarray, budget: float, base: int
+) -> list[int]:
+    """Every list of the first KEY_DIMS dimensions (fewer at the end) reached by skipping at
+    most ``budget`` of the squared length, as numbers."""
+    keys: list[int] = []
+
+    def walk(at: int, key: int, size: int, skipped: float) -> None:
+        if size == KEY_DIMS or at == len(dims):
+            if size:
+                keys.append(key)
+            return
+        walk(at + 1, key * base + int(dims[at]) + 1, size + 1, skipped)
+        if skipped + energy[at] <= budget:
+            walk(at + 1, key, size, skipped + energy[at])
+
+    walk(0, 0, 0, 0.0)
+    return keys
+
+
+def _key_members(
+    vectors: DataFrame, threshold: float, block_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """(id, vector, cell, at_home) rows with a key as the cell, and the block counts."""
+    used = vectors.select(
+        F.posexplode(F.transform("vector", lambda x: x != 0)).alias("dim", "used")
     )
-    sizes = spark.createDataFrame(sizes.collect(), "cell int, home_blocks int, visit_blocks int")
-
-    members = placed.select(
-        "id", "vector", F.xxhash64("id").alias("hash"),
-        F.explode(
-            F.concat(
-                F.array(F.struct("cell", F.lit(True).alias("at_home"))),
-                F.transform("visits", lambda c: F.struct(c.alias("cell"), F.lit(False).alias("at_home"))),
-            )
-        ).alias("member"),
-    ).select("id", "vector", "hash", "member.*")
+    # One row per dimension: rare dimensions come first, they split best.
+    counts = used.groupBy("dim").agg(F.count_if("used").alias("n")).orderBy("n", "dim").collect()
+    rank = np.zeros(len(counts), dtype=np.int64)
+    for position, row in enumerate(counts):
+        rank[row["dim"]] = position
+    budget, base = 1.0 - threshold * threshold + _SLACK, len(counts) + 1
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def keys_of(batch: pa.Array) -> pa.Array:
+        matrix = batch.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        matrix = matrix.reshape(len(batch), len(rank))
+        rows = []
+        for row in matrix:
+            nonzero = np.nonzero(row)[0]
+            dims = rank[nonzero]
+            order = np.argsort(dims)
+            energy = (row[nonzero] ** 2)[order]
+            rows.append(_shared_first_keys(dims[order], energy, budget, base))
+        return pa.array(rows, pa.list_(pa.int64()))
+
+    keyed = stage(vectors.withColumn("keys", keys_of(F.col("vector"))), "keys")
+    members = keyed.select(
+        "id", "vector", F.explode(F.array_distinct("keys")).alias("cell"), F.lit(True).alias("at_home")
+    )
+    shared = members.groupBy("cell").agg(F.count("*").alias("h")).where(F.col("h") > 1)
+    sizes = shared.select(
+        "cell", _blocks("h", block_rows).alias("home_blocks"), F.lit(0).alias("visit_blocks")
+    )
+    return members, sizes
+
+
+def _block_tasks(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(cell, kind, i, j, side, id, vector) rows; a task holds about two blocks of vectors."""
 
     def task(kind: int, i: Column, j: Column, side: Column) -> Column:
         return F.struct(
@@ -169,8 +224,8 @@ def _block_tasks(vectors: DataFrame, threshold: float, block_rows: int) -> DataF
     def upto(count: Column) -> Column:
         return F.filter(F.sequence(F.lit(0), count), lambda k: k < count)
 
-    own_home = F.pmod("hash", "home_blocks").cast("int")
-    own_visit = F.pmod("hash", F.greatest("visit_blocks", F.lit(1))).cast("int")
+    own_home = F.pmod(F.xxhash64("id"), "home_blocks").cast("int")
+    own_visit = F.pmod(F.xxhash64("id"), F.greatest("visit_blocks", F.lit(1))).cast("int")
     among_home = F.transform(
         upto(F.col("home_blocks")),
         lambda k: task(0, F.least(own_home, k), F.greatest(own_home, k), own_home > k),
@@ -182,9 +237,11 @@ def _block_tasks(vectors: DataFrame, threshold: float, block_rows: int) -> DataF
         upto(F.col("home_blocks")), lambda k: task(1, k, own_visit, F.lit(1))
     )
     tasks = F.when(F.col("at_home"), F.concat(among_home, home_to_visit)).otherwise(visit_to_home)
-    return members.join(F.broadcast(sizes), "cell").select(
-        "cell", F.explode(tasks).alias("task"), "id", "vector"
-    ).select("cell", "task.*", "id", "vector")
+    return (
+        members.join(sizes, "cell")
+        .select("cell", F.explode(tasks).alias("task"), "id", "vector")
+        .select("cell", "task.*", "id", "vector")
+    )
 
 
 def _close_pairs(block: pa.Table, threshold: float):
@@ -257,9 +314,12 @@ def _spanning_links(n: int, left: np.ndarray, right: np.ndarray, sims: np.ndarra
     )
 
 
-def _join(vectors: DataFrame, threshold: float, block_rows: int, *, links: bool) -> DataFrame:
+def _join(
+    vectors: DataFrame, threshold: float, method: str, block_rows: int, *, links: bool
+) -> DataFrame:
     if not 0.0 < threshold <= 1.0:
         raise ValueError("threshold must be in (0, 1]")
+    place = {"cells": _cell_members, "keys": _key_members}[method]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = pa.Table.from_batches(list(batches))  # one task: about two blocks
@@ -271,7 +331,7 @@ def _join(vectors: DataFrame, threshold: float, block_rows: int, *, links: bool)
 
     schema = _pairs_schema(vectors.schema["id"].dataType)
     return (
-        _block_tasks(vectors, threshold, block_rows)
+        _block_tasks(*place(vectors, threshold, block_rows))
         .groupBy("cell", "kind", "i", "j")
         .applyInArrow(compare, schema)
     )
@@ -294,30 +354,45 @@ def _copies(df: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
 
 
 def _pairs_and_copies(
-    df: DataFrame, id_col: str, vector: str, threshold: float, block_rows: int, *, links: bool
+    df: DataFrame, id_col: str, vector: str, threshold: float, method: str, block_rows: int,
+    *, links: bool,
 ) -> DataFrame:
     given = df.select(F.col(id_col).alias("id"), F.col(vector).alias("vector"))
     reps = stage(distinct_vectors(given, id_col="id", vector="vector"), "vectors")
-    pairs = _join(reps, threshold, block_rows, links=links)
+    pairs = _join(reps, threshold, method, block_rows, links=links)
     if nonzero_vectors(given, "vector").count() == reps.count():
         return pairs
     return pairs.unionByName(_copies(given, reps, threshold))
 
 
 def similar_pairs(
-    df: DataFrame, *, id_col: str, vector: str, threshold: float, block_rows: int = BLOCK_ROWS
+    df: DataFrame,
+    *,
+    id_col: str,
+    vector: str,
+    threshold: float,
+    method: str = "cells",
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """All pairs of distinct vectors at or above the threshold, and each copy's link.
 
     Copies of one vector are not paired with each other nor with its partners: the
     representative (smallest id) stands for them. Vectors must have unit length.
     """
-    pairs = _pairs_and_copies(df, id_col, vector, threshold, block_rows, links=False)
-    return pairs.drop("connects")
+    pairs = _pairs_and_copies(df, id_col, vector, threshold, method, block_rows, links=False)
+    pairs = pairs.drop("connects")
+    # Two vectors can share several keys, but only one cell.
+    return pairs.dropDuplicates(["left_id", "right_id"]) if method == "keys" else pairs
 
 
 def similarity_links(
-    df: DataFrame, *, id_col: str, vector: str, threshold: float, block_rows: int = BLOCK_ROWS
+    df: DataFrame,
+    *,
+    id_col: str,
+    vector: str,
+    threshold: float,
+    method: str = "cells",
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Links with the same connected groups and the same best similarity per group as all pairs.
 
@@ -325,4 +400,4 @@ def similarity_links(
     The links with ``connects`` make up the groups; the others, and copies, carry the
     ``similarity``. Vectors must have unit length.
     """
-    return _pairs_and_copies(df, id_col, vector, threshold, block_rows, links=True)
+    return _pairs_and_copies(df, id_col, vector, threshold, method, block_rows, links=True)

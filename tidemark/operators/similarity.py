@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.shaping import keep_first
 from tidemark.session import stage
 
 BLOCK_ROWS = 4096
@@ -91,21 +92,35 @@ class _Cells:
         return reach(vector, cell)
 
 
-def nonzero_vectors(df: DataFrame, vector: str) -> DataFrame:
-    """Rows whose vector is not all zeros: a zero vector is similar to nothing."""
-    return df.where(F.exists(vector, lambda x: x != 0))
+@F.arrow_udf(T.BinaryType())
+def _vector_bytes(vectors: pa.Array) -> pa.Array:
+    # Adding zero turns -0.0 into 0.0, so equal vectors have equal bytes.
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float32) + np.float32(0.0)
+    rows = flat.reshape(len(vectors), -1)
+    return pa.array([r.tobytes() if r.any() else None for r in rows], pa.binary())
 
 
-def distinct_vectors(df: DataFrame, *, id_col: str, vector: str) -> DataFrame:
-    """One row per distinct vector, the smallest id as its representative."""
-    return (
-        nonzero_vectors(df, vector)
-        .groupBy(F.col(vector).alias("vector"))
-        .agg(F.min(id_col).alias("id"))
-        .select("id", "vector")
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _nonzero_dims(vectors: pa.Array) -> pa.Array:
+    flat = vectors.flatten().to_numpy(zero_copy_only=False)
+    rows, dims = np.nonzero(flat.reshape(len(vectors), -1))
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(vectors)))])
+    return pa.ListArray.from_arrays(
+        pa.array(offsets.astype(np.int32)), pa.array(dims.astype(np.int32))
     )
 
 
+def with_vector_key(df: DataFrame) -> DataFrame:
+    """Add a digest that equal vectors share; zero vectors, similar to nothing, are left out."""
+    bytes_key = F.sha2(_vector_bytes(F.col("vector")), 256)
+    return df.withColumn("vector_key", bytes_key).where(F.col("vector_key").isNotNull())
+
+
+def distinct_vectors(keyed: DataFrame) -> DataFrame:
+    """One row per distinct vector, the smallest id as its representative."""
+    return keep_first(keyed, ["vector_key"], ["id"])
+
+
 def _blocks(rows: str, block_rows: int) -> Column:
     return F.ceil(F.coalesce(F.col(rows), F.lit(0)) / block_rows).cast("int")
 
@@ -178,20 +193,18 @@ def _key_members(
     vectors: DataFrame, threshold: float, block_rows: int
 ) -> tuple[DataFrame, DataFrame]:
     """(id, vector, cell, at_home) rows with a key as the cell, and the block counts."""
-    used = vectors.select(
-        F.posexplode(F.transform("vector", lambda x: x != 0)).alias("dim", "used")
-    )
-    # One row per dimension: rare dimensions come first, they split best.
-    counts = used.groupBy("dim").agg(F.count_if("used").alias("n")).orderBy("n", "dim").collect()
-    rank = np.zeros(len(counts), dtype=np.int64)
+    used = vectors.select(F.explode(_nonzero_dims(F.col("vector"))).alias("dim"))
+    # At most one row per dimension: rare dimensions come first, they split best.
+    counts = used.groupBy("dim").count().orderBy("count", "dim").collect()
+    rank = np.zeros(max((row["dim"] for row in counts), default=0) + 1, dtype=np.int64)
     for position, row in enumerate(counts):
         rank[row["dim"]] = position
-    budget, base = 1.0 - threshold * threshold + _SLACK, len(counts) + 1
+    budget, base = 1.0 - threshold * threshold + _SLACK, len(rank) + 1
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def keys_of(batch: pa.Array) -> pa.Array:
         matrix = batch.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        matrix = matrix.reshape(len(batch), len(rank))
+        matrix = matrix.reshape(len(batch), -1)
         rows = []
         for row in matrix:
             nonzero = np.nonzero(row)[0]
@@ -337,19 +350,20 @@ def _join(
     )
 
 
-def _copies(df: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+def _copies(keyed: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     """Each copy of a vector linked to its representative.
 
     The representatives are unique, so a vector holding a third of the rows is a skewed probe
     side, which AQE splits.
     """
     length = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
+    heads = reps.select("vector_key", F.col("id").alias("left_id"), length.alias("similarity"))
     return (
-        df.withColumnRenamed("id", "right_id")
-        .join(reps.withColumnRenamed("id", "left_id"), "vector")
+        keyed.select("vector_key", F.col("id").alias("right_id"))
+        .join(heads, "vector_key")
         .where(F.col("left_id") != F.col("right_id"))
-        .select("left_id", "right_id", length.alias("similarity"), F.lit(True).alias("connects"))
         .where(F.col("similarity") >= threshold)
+        .select("left_id", "right_id", "similarity", F.lit(True).alias("connects"))
     )
 
 
@@ -357,12 +371,13 @@ def _pairs_and_copies(
     df: DataFrame, id_col: str, vector: str, threshold: float, method: str, block_rows: int,
     *, links: bool,
 ) -> DataFrame:
-    given = df.select(F.col(id_col).alias("id"), F.col(vector).alias("vector"))
-    reps = stage(distinct_vectors(given, id_col="id", vector="vector"), "vectors")
-    pairs = _join(reps, threshold, method, block_rows, links=links)
-    if nonzero_vectors(given, "vector").count() == reps.count():
+    keyed = with_vector_key(df.select(F.col(id_col).alias("id"), F.col(vector).alias("vector")))
+    reps = stage(distinct_vectors(keyed), "vectors")
+    distinct = reps.select("id", "vector")
+    pairs = _join(distinct, threshold, method, block_rows, links=links)
+    if keyed.count() == reps.count():
         return pairs
-    return pairs.unionByName(_copies(given, reps, threshold))
+    return pairs.unionByName(_copies(keyed, reps, threshold))
 
 
 def similar_pairs(

@@ -32,7 +32,8 @@ def _total(items: Column) -> Column:
 
 
 def _first_three(items: Column, render: Callable[[Column], Column]) -> Column:
-    parts = F.array_compact(F.transform(F.slice(items, 1, 3), render))
+    shown = F.filter(F.slice(items, 1, 3), lambda i: i["more"].isNull())
+    parts = F.array_compact(F.transform(shown, render))
     hidden = _total(items) - F.size(parts)
     tail = F.when(hidden > 0, F.concat(F.lit("; +"), hidden.cast("string"), F.lit(" more")))
     return F.when(F.size(items) == 0, "None").otherwise(

@@ -49,7 +49,9 @@ def dot_similarity(vector: Column, query: Sequence[float]) -> Column:
         sims = (_matrix(vectors, len(weights)) @ weights).astype(np.float32)
         return _spread(sims, vectors, pa.float32())
 
-    return score(vector)
+    # Called non-deterministic so that a filter on the score is not pushed below the projection,
+    # where every row would be scored a second time.
+    return score.asNondeterministic()(vector)
 
 
 def dot_product(left: Column, right: Column) -> Column:

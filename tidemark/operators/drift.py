@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.constants import DRIFT_DROP, DRIFT_WINDOW
 from tidemark.schemas import DRIFT
+from tidemark.session import stage
 
 METRICS = ("rows", "mean_text_len", "n_unique_url")
 
@@ -112,17 +113,30 @@ def run_drift(
 ) -> DataFrame:
     """Findings of the current batch against the history, one row each.
 
+    Each side is aggregated once and kept; the findings then work on those small tables.
+    """
+    past = None if history is None else stage(domain_run_stats(history), "domain-runs")
+    return drift_findings(stage(domain_stats(current), "domains"), past, window=window, drop=drop)
+
+
+def drift_findings(
+    stats: DataFrame,
+    run_stats: DataFrame | None,
+    *,
+    window: int = DRIFT_WINDOW,
+    drop: float = DRIFT_DROP,
+) -> DataFrame:
+    """The findings, from :func:`domain_stats` and :func:`domain_run_stats`.
+
     ``baseline``: the domain has no earlier run. A metric name: the value fell below ``drop``
     times its trailing mean. ``presence``: the domain was in all recent runs and is absent now.
     An empty batch has no findings.
     """
-    stats = domain_stats(current)
-    if history is None or history.isEmpty():
+    if run_stats is None or run_stats.isEmpty():
         return _without_history(stats, "no prior runs to compare")
-    if current.isEmpty():
+    if stats.isEmpty():
         return stats.limit(0).select(*_finding(*[F.lit(None)] * 6))
 
-    run_stats = domain_run_stats(history)
     base = trailing_baseline(run_stats, window).select(
         "source_domain",
         F.lit(True).alias("_seen"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.constants import TITLE_SIMILARITY
 from tidemark.functions.vectors import Embedder, HashedEmbedder
 from tidemark.operators.clusters import title_duplicate_members
-from tidemark.operators.drift import run_drift
+from tidemark.operators.drift import domain_run_stats, domain_stats, drift_findings
 from tidemark.operators.rules import (
     REASONS,
     Rule,
@@ -31,7 +31,7 @@ from tidemark.sources import lake as tables
 from tidemark.sources.audit import (
     QualityResult,
     append_quality_run,
-    drift_findings,
+    inline_drift,
     record_run,
     run_id,
     utc_now_iso,
@@ -48,16 +48,15 @@ _KNOWN = "_known"
 def run_bronze_checks(
     checked: DataFrame,
     *,
-    current: DataFrame,
-    history: DataFrame | None,
+    drift: DataFrame,
     rules: Sequence[Rule] | None = None,
     embedder: Embedder | None = None,
     duplicate_threshold: float = TITLE_SIMILARITY,
 ) -> QualityResult:
     """All quality checks over rows that carry their failure reasons.
 
-    ``current`` and ``history`` are what drift compares. Without an embedder, or when it
-    fails, titles are not compared.
+    ``drift`` are the batch's drift findings. Without an embedder, or when it fails, titles are
+    not compared.
     """
     started_at = utc_now_iso()
     this_run = run_id("qrun", "bronze", started_at)
@@ -66,7 +65,7 @@ def run_bronze_checks(
         row.asDict() for row in summarize_failures(checked, rules).collect()  # at most one per rule
     ]
     nulls = {r["column"]: r["nulls"] for r in null_counts(checked, BRONZE.fieldNames()).collect()}
-    drift = stage(run_drift(current, history), "drift")
+    drift = stage(drift, "drift")
     clusters, n_clusters = None, 0
     if embedder is not None:
         try:
@@ -94,6 +93,24 @@ def run_bronze_checks(
     )
 
 
+def domain_runs(lake: Lake) -> DataFrame | None:
+    """Statistics per domain and run of everything in bronze; None without a bronze table.
+
+    Each ingest keeps its own statistics, so bronze text is not read again for them. Runs that
+    have none, after a crash between the two writes, are worked out from bronze.
+    """
+    if not lake.exists(tables.BRONZE):
+        return None
+    kept = lake.read(tables.DOMAIN_RUNS)
+    stamps = lake.read(tables.BRONZE, ["ingested_at"]).distinct()  # one dictionary-coded column
+    lacking = stage(rows_not_in(stamps, kept, ["ingested_at"]), "runs-lacking")
+    if lacking.isEmpty():
+        return kept
+    columns = ["source_domain", "ingested_at", "text", "source_url"]
+    rows = lake.read(tables.BRONZE, columns).join(lacking, "ingested_at", "left_semi")
+    return kept.unionByName(domain_run_stats(rows))
+
+
 def write_quarantine(failures: DataFrame, lake: Lake) -> bool:
     """Append failed rows with their reasons, unless quarantined before for the same reasons."""
     rows = failures
@@ -173,10 +190,11 @@ def _ingest(
     with record_run("bronze", lake, rows_in=totals["loaded"]) as handle:
         quality_run = None
         if validate and totals["loaded"]:
-            history = lake.read(tables.BRONZE) if lake.exists(tables.BRONZE) else None
-            result = run_bronze_checks(
-                batch, current=batch.where(~F.col(_KNOWN)), history=history, rules=rules, embedder=embedder
-            )
+            past = domain_runs(lake)
+            past = None if past is None else stage(past, "domain-runs")
+            now = stage(domain_stats(batch.where(~F.col(_KNOWN))), "domains")
+            found = drift_findings(now, past)
+            result = run_bronze_checks(batch, drift=found, rules=rules, embedder=embedder)
             write_quarantine(result.failures, lake)
             append_quality_run(result, lake)
             quality_run = result.run_id
@@ -185,8 +203,10 @@ def _ingest(
             if not totals["written"]:
                 log.warning("bronze is overwritten with no rows")
             lake.overwrite(tables.BRONZE, fresh, few_days=few_days)
+            lake.overwrite(tables.DOMAIN_RUNS, domain_run_stats(fresh))
         elif totals["written"] or not lake.exists(tables.BRONZE):
             lake.append(tables.BRONZE, fresh, few_days=few_days)
+            lake.append(tables.DOMAIN_RUNS, domain_run_stats(fresh))
         if totals["quarantined"]:
             handle.set_status("partial")
         handle.rows_out = totals["written"]
@@ -234,11 +254,10 @@ def check_quality(lake: Lake) -> QualityResult:
     bronze = lake.read(tables.BRONZE)
     checked = stage(apply_rules(bronze), "bronze-checked")
     newest = bronze.agg(F.max("ingested_at")).first()[0]
-    result = run_bronze_checks(
-        checked,
-        current=bronze.where(F.col("ingested_at") == newest),
-        history=bronze.where(F.col("ingested_at") < newest),
-    )
+    runs = stage(domain_runs(lake), "domain-runs")
+    now = runs.where(F.col("ingested_at") == newest).drop("ingested_at")
+    found = drift_findings(now, runs.where(F.col("ingested_at") < newest))
+    result = run_bronze_checks(checked, drift=found)
     write_quarantine(result.failures, lake)
     append_quality_run(result, lake)
     return result
@@ -253,7 +272,7 @@ def quality_report(result: QualityResult, *, n_checks: int = 10) -> list[str]:
     lines += [
         f"{c['column']}: {c['check']} ({c['failed']} rows)" for c in result.check_summary[:n_checks]
     ]
-    found = drift_findings(result)
+    found = inline_drift(result)
     lines += [f"[{f['domain']}] {f['metric']}: {f['note']}" for f in found]
     if result.n_drift > len(found):
         lines.append(f"{result.n_drift - len(found)} more drift findings in the findings table")

@@ -57,6 +57,19 @@ DRIFT_FINDINGS = Table(
     "drift_findings",
     T.StructType([T.StructField("run_id", T.StringType())] + schemas.DRIFT.fields),
 )
+DOMAIN_RUNS = Table(
+    "_quality",
+    "domain_runs",
+    T.StructType(
+        [
+            T.StructField("source_domain", T.StringType()),
+            T.StructField("ingested_at", T.StringType()),
+            T.StructField("rows", T.LongType()),
+            T.StructField("mean_text_len", T.DoubleType()),
+            T.StructField("n_unique_url", T.LongType()),
+        ]
+    ),
+)
 DUPLICATE_MEMBERS = Table(
     "_quality",
     "duplicate_members",

@@ -7,6 +7,7 @@ from collections import defaultdict
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,8 +63,8 @@ def _by_schema(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.Struct
     try:
         merged = spark.read.option("mergeSchema", "true").parquet(*paths).schema
         return [(_relevant(merged), list(paths))]
-    except PySparkException:
-        pass
+    except (PySparkException, Py4JJavaError):
+        pass  # types differ: an unreadable dataset fails again below
     with ThreadPoolExecutor(max_workers=16) as pool:
         schemas = list(pool.map(lambda p: _relevant(spark.read.parquet(p).schema), paths))
     groups: dict[str, list[str]] = defaultdict(list)

@@ -168,6 +168,31 @@ def quality_counts(checked: DataFrame) -> DataFrame:
     )
 
 
+def quality_profile(
+    checked: DataFrame, rules: Sequence[Rule], columns: Sequence[str]
+) -> tuple[dict[str, int], list[dict], dict[str, int]]:
+    """Row counts, failing checks (most first) and null counts, all from one pass."""
+    reasons = [r.reason for r in rules]
+    row = checked.agg(
+        F.count("*").alias("rows_in"),
+        F.count_if(F.size(REASONS) > 0).alias("rows_failed"),
+        *[F.count_if(F.array_contains(REASONS, r)).alias(f"_r{i}") for i, r in enumerate(reasons)],
+        *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(columns)],
+    ).first()
+    summary = [
+        {"column": r.column, "check": r.check, "failed": row[f"_r{i}"]}
+        for i, r in enumerate(rules)
+        if row[f"_r{i}"]
+    ]
+    summary.sort(key=lambda entry: (-entry["failed"], entry["column"], entry["check"]))
+    counts = {
+        "rows_in": row["rows_in"],
+        "rows_passed": row["rows_in"] - row["rows_failed"],
+        "rows_failed": row["rows_failed"],
+    }
+    return counts, summary, {c: row[f"_n{i}"] for i, c in enumerate(columns)}
+
+
 def status_of(rows_failed: Column, findings: Column) -> Column:
     """fail on failed rows, warn on drift or duplicate findings, else pass."""
     return F.when(rows_failed > 0, "fail").when(findings > 0, "warn").otherwise("pass")

@@ -19,11 +19,9 @@ from tidemark.operators.rules import (
     apply_rules,
     bronze_rules,
     failed_rows,
-    null_counts,
-    quality_counts,
+    quality_profile,
     schema_findings,
 )
-from tidemark.operators.rules import check_summary as summarize_failures
 from tidemark.operators.shaping import rows_not_in
 from tidemark.schemas import BRONZE
 from tidemark.session import stage, staging
@@ -60,11 +58,10 @@ def run_bronze_checks(
     """
     started_at = utc_now_iso()
     this_run = run_id("qrun", "bronze", started_at)
-    counts = quality_counts(checked).first()
-    summary = schema_findings(checked, BRONZE) + [
-        row.asDict() for row in summarize_failures(checked, rules).collect()  # at most one per rule
-    ]
-    nulls = {r["column"]: r["nulls"] for r in null_counts(checked, BRONZE.fieldNames()).collect()}
+    counts, summary, nulls = quality_profile(
+        checked, rules or bronze_rules(), BRONZE.fieldNames()
+    )
+    summary = schema_findings(checked, BRONZE) + summary
     drift = stage(drift, "drift")
     clusters, n_clusters = None, 0
     if embedder is not None:
@@ -80,9 +77,7 @@ def run_bronze_checks(
         layer="bronze",
         started_at=started_at,
         finished_at=utc_now_iso(),
-        rows_in=counts["rows_in"],
-        rows_passed=counts["rows_passed"],
-        rows_failed=counts["rows_failed"],
+        **counts,
         failures=failed_rows(checked, this_run),
         check_summary=summary,
         drift=drift,
@@ -252,7 +247,7 @@ def check_quality(lake: Lake) -> QualityResult:
     if not lake.exists(tables.BRONZE):
         raise FileNotFoundError(f"no bronze table under {lake.root}")
     bronze = lake.read(tables.BRONZE)
-    checked = stage(apply_rules(bronze), "bronze-checked")
+    checked = apply_rules(bronze)  # evaluated once for the counts, once for the failed rows
     newest = bronze.agg(F.max("ingested_at")).first()[0]
     runs = stage(domain_runs(lake), "domain-runs")
     now = runs.where(F.col("ingested_at") == newest).drop("ingested_at")

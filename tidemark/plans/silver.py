@@ -120,14 +120,15 @@ def _promote(
         if since_day is not None:
             done = done.where(F.col(tables.DAY) >= since_day)
         bronze = new_silver_rows(bronze, done)
-    fresh = stage(bronze.drop(tables.DAY), "silver-input")
-    if fresh.isEmpty():
+    fresh = bronze.drop(tables.DAY)
+    days = days_of(fresh)
+    if days == []:
         log.info("no new bronze rows")
         return 0, 0
-    days = days_of(fresh)
     few_days = days is not None and len(days) <= FEW_DAYS
 
-    # Cleaning happens once, here; the staged pages feed the count, the chunks and the write.
+    # Cleaning and embedding happen once, here; the staged pages feed the count, the chunks and
+    # the write. Chunks go straight to their table.
     with record_run("silver_pages", lake) as handle:
         pages = stage(build_pages(fresh, embedder, embedded_at=stamp), "silver-pages")
         n_pages = pages.count()
@@ -137,14 +138,14 @@ def _promote(
         chunks = build_chunks(
             pages, embedder, embedded_at=stamp, chunk_tokens=size, chunk_overlap=overlap
         )
-        chunks = stage(chunks, "silver-chunks")
-        n_chunks = chunks.count()
+        _write(lake, tables.CHUNKS, chunks, "chunk_id", rebuild, few_days, days)
+        _write(lake, tables.PAGES, pages, "page_id", rebuild, few_days, days)
+        written = lake.read(tables.CHUNKS, ["embedded_at"], days=days)
+        n_chunks = written.where(F.col("embedded_at") == stamp).count()
         handle.rows_out = n_chunks
         handle.details.update(
             chunk_tokens=size, chunk_overlap=overlap, model=embedder.model_name
         )
-        _write(lake, tables.CHUNKS, chunks, "chunk_id", rebuild, few_days, days)
-        _write(lake, tables.PAGES, pages, "page_id", rebuild, few_days, days)
     return n_pages, n_chunks
 
 

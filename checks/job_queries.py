@@ -122,22 +122,37 @@ def _(spark, sf):
     return rows.withColumn("reasons", F.array_join(REASONS, "; ")).drop(REASONS, "_quality_run_id")
 
 
-@check("append_quality_run")
+@check(
+    "append_quality_run",
+    S.K1 + """ SELECT 'bronze' AS layer, 'fail' AS status, count(*) AS rows_in, count(*) FILTER (WHERE len(why) = 0) AS rows_passed,
+ count(*) FILTER (WHERE len(why) > 0) AS rows_failed FROM k1""",
+    ("v1",),
+)
 def _(spark, sf):
-    return _ingested(spark, sf).read(tables.QUALITY_RUNS)
+    runs = _ingested(spark, sf).read(tables.QUALITY_RUNS)
+    return runs.select("layer", "status", "rows_in", "rows_passed", "rows_failed")
 
 
-@check("check_quality")
+@check(
+    "check_quality",
+    S.K1 + """ SELECT count(*) AS "Rows In", count(*) FILTER (WHERE len(why) = 0) AS "Rows Passed", count(*) FILTER (WHERE len(why) > 0) AS "Rows Failed" FROM k1
+UNION ALL SELECT count(*), count(*), 0 FROM k1 WHERE len(why) = 0""",
+    ("v1",),
+)
 def _(spark, sf):
     lake = _ingested(spark, sf)
     bronze.check_quality(lake)
-    return reports.lake_quality_history(lake)
+    return reports.lake_quality_history(lake).select("Rows In", "Rows Passed", "Rows Failed")
 
 
-@check("append_pipeline_run")
+@check(
+    "append_pipeline_run",
+    S.K1 + " SELECT 'bronze' AS stage, 'partial' AS status, count(*) AS rows_in, count(*) FILTER (WHERE len(why) = 0) AS rows_out FROM k1",
+    ("v1",),
+)
 def _(spark, sf):
-    lake = _ingested(spark, sf)
-    return reports.run_history(lake.read(tables.PIPELINE_RUNS), ["run_id", "stage", "status", "rows_in", "rows_out"], 10)
+    runs = _ingested(spark, sf).read(tables.PIPELINE_RUNS)
+    return reports.run_history(runs, ["stage", "status", "rows_in", "rows_out"], 10)
 
 
 _GOOD = S.K1 + f""", g1 AS (SELECT * EXCLUDE (text), {S.clean('text')} AS text FROM k1 WHERE len(why) = 0),
@@ -176,7 +191,11 @@ def _(spark, sf):
     return search.search_or_refresh(lake, "the market que", refresher, threshold=0.05).hits
 
 
-@check("latest_report")
+@check(
+    "latest_report",
+    "SELECT source_domain, count(*) AS rows FROM v1 WHERE source_file = 'market_data_3.parquet' GROUP BY source_domain",
+    ("v1",),
+)
 def _(spark, sf):
     folder = land(spark, sf, _folder(spark, "report"))
     return reports.latest_report(Lake(spark, _folder(spark, "lake")), folder)["by_domain"]

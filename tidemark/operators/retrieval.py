@@ -54,7 +54,7 @@ def hits_with_pages(
     """Hits joined to their page's title, URL, crawl stamp and text.
 
     ``hits`` has at most ``k`` rows. Up to a fixed size it is broadcast, so pages are neither
-    shuffled nor sorted; a partition column among the keys also prunes the page files read.
+    shuffled nor sorted.
     """
     side = F.broadcast(hits) if k <= SMALL_ROWS else hits
     columns = [*keys, "title", "source_url", "crawled_at", "text"]
@@ -68,20 +68,31 @@ def order_hits(hits: DataFrame) -> DataFrame:
     )
 
 
-def search_pages(
+def best_pages(
     chunks: DataFrame,
-    pages: DataFrame,
     query: Sequence[float],
     *,
     threshold: float,
     top_k: int,
     keys: Sequence[str] = ("page_id",),
 ) -> DataFrame:
-    """The whole search as one plan. ``top_k`` applies before the join, so a page missing from
-    ``pages`` leaves fewer rows."""
+    """The ``top_k`` pages by their best chunk above the threshold."""
     scored = similarity_filter(score_chunks(chunks, query, keys), threshold)
-    best = top_k_pages(best_chunk_per_page(scored, keys), top_k)
-    return order_hits(hits_with_pages(best, pages, k=top_k, keys=keys))
+    return top_k_pages(best_chunk_per_page(scored, keys), top_k)
+
+
+def search_pages(
+    chunks: DataFrame,
+    pages: DataFrame,
+    query: Sequence[float],
+    *,
+    threshold: float,
+    top_k: int,
+) -> DataFrame:
+    """The whole search as one lazy plan. ``top_k`` applies before the join, so a page missing
+    from ``pages`` leaves fewer rows."""
+    best = best_pages(chunks, query, threshold=threshold, top_k=top_k)
+    return order_hits(hits_with_pages(best, pages, k=top_k))
 
 
 def mean_pool(df: DataFrame, *, key: str, vector: str, dim: int) -> DataFrame:

@@ -11,11 +11,18 @@ from pyspark.sql import functions as F
 
 from tidemark.constants import SEARCH_MIN_ARTICLES, SEARCH_THRESHOLD, SEARCH_TOP_K
 from tidemark.functions.vectors import Embedder, HashedEmbedder
-from tidemark.operators.retrieval import score_chunks, search_pages, search_stats
+from tidemark.operators.retrieval import (
+    best_pages,
+    hits_with_pages,
+    order_hits,
+    score_chunks,
+    search_stats,
+)
 from tidemark.plans.bronze import ingest_bronze
 from tidemark.plans.crawl import extract_pages
 from tidemark.plans.silver import build_silver
 from tidemark.schemas import HITS
+from tidemark.session import SMALL_ROWS
 from tidemark.sources import lake as tables
 from tidemark.sources.lake import DAY, Lake
 
@@ -36,20 +43,25 @@ def search(
     top_k: int = SEARCH_TOP_K,
     embedder: Embedder | None = None,
 ) -> DataFrame:
-    """The best pages for a query, as one lazy plan; empty when silver is.
+    """The best pages for a query; empty when silver is.
 
-    Hits carry their crawl day, so the join reads only the page partitions of those days.
+    The chunks are ranked first. The hits, at most ``top_k`` rows, carry their crawl day, so the
+    page partitions to read are known before the second step.
     """
     if not (lake.exists(tables.CHUNKS) and lake.exists(tables.PAGES)):
         return lake.spark.createDataFrame([], HITS)
-    return search_pages(
-        lake.read(tables.CHUNKS, ["page_id", DAY, "embedding"]),
-        lake.read(tables.PAGES, ["page_id", DAY, "title", "source_url", "crawled_at", "text"]),
-        query_vector(lake, query, embedder or HashedEmbedder()),
-        threshold=threshold,
-        top_k=top_k,
-        keys=("page_id", DAY),
+    keys, days = ("page_id", DAY), None
+    chunks = lake.read(tables.CHUNKS, [*keys, "embedding"])
+    vector = query_vector(lake, query, embedder or HashedEmbedder())
+    best = best_pages(chunks, vector, threshold=threshold, top_k=top_k, keys=keys)
+    if top_k <= SMALL_ROWS:
+        rows = best.collect()
+        best = lake.spark.createDataFrame(rows, best.schema)
+        days = sorted({row[DAY] for row in rows})
+    pages = lake.read(
+        tables.PAGES, [*keys, "title", "source_url", "crawled_at", "text"], days=days
     )
+    return order_hits(hits_with_pages(best, pages, k=top_k, keys=keys))
 
 
 def scan_stats(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import exact_dedup, mixing, token_counts, url_filter
+from tidemark.llm import exact_dedup, mixing, substring_dedup, token_counts, url_filter
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "host", "path", "rule", "verdict")
 
 
+@_register("op9_substring_dedup", substring_dedup.SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @_register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -86,7 +86,7 @@ def exact_groups(
     Texts are equal when identical after lower-casing A-Z; null counts as empty, so all nulls
     and empty texts are one group. The largest doc_id of a group stays. Repeated rows (same id,
     same text) each count in ``group_size`` and share their ``kept``; the same id with other
-    texts stands in several groups. An empty table gives an empty result. Only ``doc_id`` and
+    texts stands in several groups; a null id is smaller than any other. An empty table gives an empty result. Only ``doc_id`` and
     the text are read.
     """
     spark = docs.sparkSession
@@ -126,7 +126,7 @@ def exact_groups(
         read.select("doc_id", "norm", digest(F.col("norm")).alias("digest")).join(repeated, "digest"), "hits"
     )
     keepers = (
-        hits.where("doc_id = locator")
+        hits.where("doc_id <=> locator")
         .groupBy(F.col("digest").alias("k_digest"))
         .agg(F.max("norm").alias("k_norm"))
     )
@@ -144,19 +144,19 @@ def exact_groups(
 
 def _judge(rows: DataFrame, state: DataFrame, regrouped: DataFrame, lost: DataFrame) -> DataFrame:
     """Each row with its group: by digest, but for the rows that only shared a digest."""
-    sure = rows.join(
-        regrouped.select("doc_id", "digest", "text_sha256"), ["doc_id", "digest", "text_sha256"], "left_anti"
-    )
+    apart = regrouped.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("text_sha256").alias("_sha"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")) & (F.col("text_sha256") == F.col("_sha"))
+    sure = rows.join(apart, same, "left_anti")
     grouped = sure.join(state, "digest").join(lost, "digest", "left")
     matched = grouped.select(
         "doc_id",
         "keep_id",
         (F.col("rows") - F.coalesce("lost", F.lit(0))).alias("group_size"),
-        (F.col("doc_id") == F.col("keep_id")).alias("kept"),
+        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         "text_sha256",
     )
     others = regrouped.select(
-        "doc_id", F.col("id").alias("keep_id"), F.col("size").alias("group_size"), (F.col("doc_id") == F.col("id")).alias("kept"), "text_sha256"
+        "doc_id", F.col("id").alias("keep_id"), F.col("size").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("id")).alias("kept"), "text_sha256"
     )
     return reduce(DataFrame.unionByName, [matched, others])
 
@@ -169,7 +169,7 @@ def keep_one(docs: DataFrame, *, text: str = "text") -> DataFrame:
     groups = stage(exact_groups(docs, text=text).where("kept"), "kept")
     kept = groups.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count(F.lit(1)).alias("_n"))
     own = F.sha2(fold_ascii(text_or_empty(text)), 256)
-    rows = docs.join(kept, (F.col("doc_id") == F.col("_id")) & (own == F.col("_sha"))).drop("_id", "_sha")
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_sha"))).drop("_id", "_sha")
     names = [c for c in rows.columns if c != "_n"]
     once = rows.where("_n = 1").drop("_n")
     return once.unionByName(rows.where("_n > 1").drop("_n").dropDuplicates(["doc_id"]).select(names))

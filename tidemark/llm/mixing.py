@@ -21,7 +21,7 @@ MOST_EPOCHS = 3
 #: Weights of the sources in code-point order, repeating; a null source comes last.
 WEIGHTS = (1, 2, 3)
 
-_KEY = "md5(concat(cast(doc_id AS string), '/mix'))"
+_KEY = "md5(concat(coalesce(cast(doc_id AS string), ''), '/mix'))"
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -124,13 +124,13 @@ def mixed_documents(docs: DataFrame, *, text: str = "text") -> DataFrame:
         "taken",
         F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / size))).alias("copy"),
     ).select("_id", "copy", F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size")).alias("words"))
-    return docs.join(copies, F.col("doc_id") == F.col("_id")).drop("_id")
+    return docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
 
 
 #: The same rows of :func:`mix` in DuckDB.
 SQL = """
 WITH sizes AS (
-  SELECT doc_id, source, md5(concat(cast(doc_id AS varchar), '/mix')) AS key,
+  SELECT doc_id, source, md5(concat(coalesce(cast(doc_id AS varchar), ''), '/mix')) AS key,
    CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) END::BIGINT AS size
   FROM documents),
 by_source AS (

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_or_empty
 
-#: Documents whose pieces choose the first tier. The table only saves work: any other piece is
+#: Documents, on average, whose pieces choose the first tier. The table only saves work: any other piece is
 #: encoded, so the counts do not depend on this sample.
 TABLE_DOCUMENTS = 2000
 #: Pieces in the broadcast table (a few megabytes) and in a worker's cache.
@@ -77,9 +77,10 @@ def frequent_pieces(docs: DataFrame, tokenizer_json: str, *, text: str = "text")
 
     The pieces are counted in Spark with partial sums, and ranked with ties by the piece.
     """
+    share = min(1.0, TABLE_DOCUMENTS / max(1, docs.count()))
     pieces = (
         docs.select(text_or_empty(text).alias("t"))
-        .limit(TABLE_DOCUMENTS)
+        .sample(share, seed=1)
         .select(F.explode(F.split("t", r"[\t\n\r ]+")).alias("piece"))
         .where((F.col("piece") != "") & (F.length("piece") <= 64))
         .groupBy("piece")

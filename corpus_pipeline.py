@@ -6,28 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, mixing
+from tidemark.llm import decontamination, exact_dedup, mixing, ngram_join, toxicity
 from tidemark.llm.common import documents, new_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression distance calls toxic go."""
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays."""
     return exact_dedup.keep_one(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked texts the document with the smallest id stays."""
+    return ngram_join.one_of_each(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontamination.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per taken copy of a document, with ``copy`` and the ``words`` taken of it."""
     return mixing.mixed_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("exact dedup", drop_copies),
+    ("n-gram join", drop_near_copies),
+    ("decontamination", drop_benchmark),
     ("source mix", mix_sources),
 ]
 
-#: The stages learn models and link documents, which SQL can't express.
+#: Toxicity is a learned model, which SQL can't express.
 ORACLE_SQL = None
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontamination, exact_dedup, mixing, substring_dedup, token_counts, toxicity, url_filter
+from tidemark.llm import decontamination, exact_dedup, mixing, ngram_join, substring_dedup, token_counts, toxicity, url_filter
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@_register("op3_ngram_join", ngram_join.SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(documents(spark, sf_dir))
+
+
 @_register("op4_source_mix", mixing.SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
@@ -66,6 +71,4 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-@_register("pipeline", corpus_pipeline.ORACLE_SQL)
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_pipeline.run(spark, sf_dir)
+QUERIES["pipeline"] = corpus_pipeline.run

@@ -36,8 +36,8 @@ def id_key(column: str | Column = "doc_id") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(_NULL_ID))
 
 
-def id_back() -> Column:
-    return F.when(F.col("id") != _NULL_ID, F.col("id"))
+def id_back(column: str = "id") -> Column:
+    return F.when(F.col(column) != _NULL_ID, F.col(column))
 
 
 def keyed(docs: DataFrame, text: str = "text") -> DataFrame:

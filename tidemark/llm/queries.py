@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontamination, exact_dedup, mixing, ngram_join, substring_dedup, token_counts, toxicity, url_filter
+from tidemark.llm import decontamination, exact_dedup, mixing, ngram_join, substring_dedup, suffix_dedup, token_counts, toxicity, url_filter
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@_register("op2_suffix_dedup", suffix_dedup.SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_register("op3_ngram_join", ngram_join.SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(documents(spark, sf_dir))

@@ -12,6 +12,7 @@ all documents hold stays spread out.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +41,18 @@ def id_back(column: str = "id") -> Column:
     return F.when(F.col(column) != _NULL_ID, F.col(column))
 
 
-def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``id, row, text``: ``row`` tells apart texts under one id; equal rows share it."""
+def keyed(docs: DataFrame, text: str = "text", *, sparse: bool = False) -> DataFrame:
+    """``id, row, text``: ``row`` tells apart texts under one id; equal rows share it.
+
+    With ``sparse`` it is 0 for ids with one text, so that it costs nothing where it is stored.
+    """
     body = text_or_empty(text)
-    return docs.select(id_key().alias("id"), F.xxhash64(body).alias("row"), body.alias("text"))
+    rows = docs.select(id_key().alias("id"), F.xxhash64(body).alias("row"), body.alias("text"))
+    if not sparse:
+        return rows
+    several = rows.groupBy("id").agg((F.min("row") < F.max("row")).alias("several")).where("several")
+    marked = rows.join(stage(several, "several"), "id", "left")
+    return marked.select("id", F.when(F.col("several"), F.col("row")).otherwise(F.lit(0)).alias("row"), "text")
 
 
 def _numbers(values: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -180,8 +189,19 @@ def repeated_intervals(
         single_windows(rows, judged.where("NOT again").select("id", "row", "start", "count", "gram"), symbols, width),
         "single",
     )
+    whole = judged.where("again").select("id", "row", packed(F.col("start"), F.col("start") + F.col("count") + (width - 1)).alias("i"))
+    return gathered(whole, later_windows(single, width, same_document))
+
+
+def later_windows(single: DataFrame, width: int, same_document: bool) -> DataFrame:
+    """``id, row, i`` of the single windows that an earlier place has too."""
+    own = place(same_document)
     first = single.groupBy("window", "gram").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first < last")
     later = single.join(first.drop("last"), ["window", "gram"]).where(F.col("first") < own)
-    whole = judged.where("again").select("id", "row", packed(F.col("start"), F.col("start") + F.col("count") + (width - 1)).alias("i"))
-    parts = later.select("id", "row", packed(F.col("start"), F.col("start") + width).alias("i"))
-    return whole.unionByName(parts).groupBy("id", "row").agg(F.collect_set("i").alias("intervals"))
+    return later.select("id", "row", packed(F.col("start"), F.col("start") + width).alias("i"))
+
+
+def gathered(*parts: DataFrame) -> DataFrame:
+    """``id, row, intervals`` from rows of single intervals ``i``; at most one per position."""
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.groupBy("id", "row").agg(F.collect_set("i").alias("intervals"))

@@ -17,8 +17,9 @@ import numpy as np
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Symbols worked on at a time; longer documents are cut into stretches that overlap by a window.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 _PLACE_BITS = np.uint64(22)
+
 _PLACE_MASK = (np.uint64(1) << _PLACE_BITS) - np.uint64(1)
 
 
@@ -32,7 +33,15 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values
 
 
-@lru_cache(maxsize=2)
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * _BASE)
+
+
+def as_symbols(values: np.ndarray) -> np.ndarray:
+    """Bytes become 64-bit symbols; other sequences are symbols already."""
+    return _BYTES[values] if values.dtype == np.uint8 else values
+
+
+@lru_cache(maxsize=4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
     inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -48,7 +57,7 @@ class RangeHash:
     """Rabin-Karp hashes of any ranges of a sequence, from one pass of prefix sums."""
 
     def __init__(self, symbols: np.ndarray):
-        n = 1 << max(20, int(len(symbols)).bit_length())
+        n = 1 << max(19, int(len(symbols)).bit_length())
         forward, self.inverse = _powers(n)
         self.prefix = np.zeros(len(symbols) + 1, np.uint64)
         np.cumsum(symbols * forward[: len(symbols)], out=self.prefix[1:])
@@ -118,11 +127,11 @@ def _starts(pieces: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def find_runs(symbols: list[np.ndarray], width: int, gram: int) -> Runs:
-    """All runs of the given documents, each a sequence of 64-bit symbols."""
+    """All runs of the given documents, each a sequence of 64-bit symbols or of bytes."""
     lengths = np.array([len(s) for s in symbols], np.int64)
     found: list[tuple[np.ndarray, ...]] = []
     for pack in stretches(lengths, width):
-        packed = np.concatenate([symbols[d][a:b] for d, a, b in pack])
+        packed = as_symbols(np.concatenate([symbols[d][a:b] for d, a, b in pack]))
         docs, froms = np.array([p[0] for p in pack]), np.array([p[1] for p in pack])
         ranges = RangeHash(packed)
         keys = (mixed(ranges.every(gram)) & ~_PLACE_MASK) | np.arange(len(packed) - gram + 1, dtype=np.uint64)
@@ -156,14 +165,12 @@ def window_hashes(symbols: np.ndarray, starts: np.ndarray, counts: np.ndarray, w
         i, j = np.searchsorted(at[order], [low, low + step])
         if i < j:
             own = order[i:j]
-            ranges = RangeHash(symbols[low : low + step + width - 1])
+            ranges = RangeHash(as_symbols(symbols[low : low + step + width - 1]))
             out[own] = mixed(ranges(at[own] - low, width))
     return at, out
 
 
 def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Which of ``n`` symbols lie in one of the intervals."""
-    change = np.zeros(n + 1, np.int32)
-    np.add.at(change, starts, 1)
-    np.add.at(change, ends, -1)
+    change = np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1)
     return np.cumsum(change[:n]) > 0

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontamination, exact_dedup, mixing, ngram_join, substring_dedup, suffix_dedup, token_counts, toxicity, url_filter
+from tidemark.llm import decontamination, exact_dedup, mixing, ngram_join, quality, substring_dedup, suffix_dedup, token_counts, toxicity, url_filter
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+@_register("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @_register("op8_url_filter", url_filter.SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with the outcome ``labels.quality = 0`` of the document with the page's id."""

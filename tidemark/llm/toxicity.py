@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_or_empty
+from tidemark.llm.logistic import fit_logistic, logistic
 
 #: Labelled documents that a model is fitted on, by class, in the order of a hash of their id.
 SAMPLE_DOCUMENTS = {1: 4000, 0: 6000}
@@ -129,11 +130,7 @@ class Model:
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         z = (_features(counts, self.rates) - self.center) / self.scale
-        return _logistic(np.c_[np.ones(len(z)), z] @ self.weights)
-
-
-def _logistic(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+        return logistic(np.c_[np.ones(len(z)), z] @ self.weights)
 
 
 def _at_least(counts: np.ndarray) -> np.ndarray:
@@ -146,19 +143,6 @@ def _features(counts: np.ndarray, rates: np.ndarray) -> np.ndarray:
     return np.c_[(over - rates * n) / np.sqrt(rates * n + 1), np.sqrt(over / n), np.log(n)]
 
 
-def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 40) -> np.ndarray:
-    """Ridge logistic regression by Newton steps."""
-    x = np.c_[np.ones(len(x)), x]
-    w, ridge = np.zeros(x.shape[1]), penalty * len(y) * np.eye(x.shape[1])
-    for _ in range(steps):
-        p = _logistic(x @ w)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (p - y) + ridge @ w)
-        w -= step
-        if np.abs(step).max() < 1e-9:
-            break
-    return w
-
-
 def fit(texts: list[str], labels: list[int]) -> Model:
     """A model from labelled texts: two thirds train dictionaries, the others the calibration.
 
@@ -181,7 +165,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     rates = (_at_least(plain).sum(axis=0) + 1) / (plain.sum() + SAVINGS + 1)
     x = _features(counts, rates)
     center, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    return Model(*contents, rates, center, scale, _fit((x - center) / scale, y[rest]))
+    return Model(*contents, rates, center, scale, fit_logistic((x - center) / scale, y[rest]))
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, text: str = "text") -> Model:

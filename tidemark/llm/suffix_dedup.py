@@ -42,12 +42,30 @@ def byte_symbols() -> repeats.Symbols:
     return lambda texts: [np.frombuffer(t.encode(), np.uint8) for t in texts]
 
 
+def _later_in_batch(runs: windows.Runs, ids: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Which runs equal one of the batch that stands earlier; the same place is not earlier."""
+    order = np.lexsort((runs.start, texts, ids, runs.whole, runs.gram))
+
+    def steps(*columns: np.ndarray) -> np.ndarray:
+        new = np.zeros(len(order), bool)
+        for column in columns:
+            new[1:] |= column[order][1:] != column[order][:-1]
+        return new
+
+    kinds = np.cumsum(steps(runs.gram, runs.whole))
+    places = np.cumsum(steps(runs.gram, runs.whole, ids, texts, runs.start))
+    first = np.searchsorted(kinds, kinds)
+    later = np.zeros(len(order), bool)
+    later[order] = places > places[first]
+    return later
+
+
 def suffixes(rows: DataFrame, window: int, gram: int) -> DataFrame:
     """The selected suffixes of a batch (``_RUN``).
 
     ``slot`` is the fingerprint of the gram. Where many suffixes of one Arrow batch share it,
     each gets a slot of its own and keeps its gram apart; a row without an id then tells the
-    slot that its gram is shared. Of equal suffixes of one Arrow batch all but the first are
+    slot that its gram is shared. Of equal suffixes of one Arrow batch those at later places are
     repeats for sure: they get slots of their own as well, so copies don't pile up in one.
     """
 
@@ -56,10 +74,7 @@ def suffixes(rows: DataFrame, window: int, gram: int) -> DataFrame:
         for batch in batches:
             runs = windows.find_runs(read(batch.column(2).to_pylist()), window, gram)
             ids, texts = (batch.column(i).to_numpy()[runs.doc] for i in (0, 1))
-            order = np.lexsort((runs.start, texts, ids, runs.whole, runs.gram))
-            sure = np.zeros(len(runs), bool)
-            same = (runs.gram[order][1:] == runs.gram[order][:-1]) & (runs.whole[order][1:] == runs.whole[order][:-1])
-            sure[order[1:][same]] = True
+            sure = _later_in_batch(runs, ids, texts)
             grams, times = np.unique(runs.gram[~sure], return_counts=True)
             shared = grams[times > LONG_IN_BATCH]
             long = np.isin(runs.gram, shared)

@@ -35,8 +35,9 @@ from tidemark.operators.clusters import connected_labels
 #: Words in a shingle, and the similarity of a link as a fraction.
 SHINGLE = 5
 NUM, DEN = 3, 4
-#: Share of a set's shingles that two linked sets share at least in what they keep.
-SHARED = 0.05
+#: What two linked sets share at least in what they keep: so many shingles, and one in so many of
+#: the set. The number keeps a common line or two from making short texts candidates of each other.
+SHARED_LEAST, SHARED_PART = 12, 20
 #: A shingle in more kept sets of one Arrow batch is long for certain: the batch sends one row
 #: for it instead of one per set.
 LONG_IN_BATCH = 64
@@ -69,14 +70,14 @@ def _set_id(shingles: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes()))))
 
 
-def least_overlap(n):
+def least_overlap(n: int) -> int:
     """Shingles that a set of ``n`` shares with any linked set, at least."""
     return (NUM * n + DEN - 1) // DEN
 
 
-def kept_shared(n):
+def kept_shared(n: int) -> int:
     """T for sets of ``n``: what the kept parts of linked sets share, for the smaller ``n``."""
-    return 1 + np.floor(SHARED * n).astype(int) if isinstance(n, np.ndarray) else 1 + int(SHARED * n)
+    return min(least_overlap(n), SHARED_LEAST + n // SHARED_PART)
 
 
 def kept_size(n: int) -> int:
@@ -146,7 +147,9 @@ def _short_lists(kept: DataFrame) -> DataFrame:
     )
     long = kept.where("long AND set IS NOT NULL").select("set", "n", F.struct(F.lit(_LONG).alias("length"), "shingle").alias("entry"))
     # Between sets of n and of at least 3/4 n shingles T is that of the smaller.
-    needed = F.expr(f"1 + cast(floor({SHARED} * ceil({NUM} * n / {DEN})) AS int)")
+    smallest = f"(({NUM} * n + {DEN - 1}) div {DEN})"
+    overlap = f"(({NUM} * {smallest} + {DEN - 1}) div {DEN})"
+    needed = F.expr(f"cast(least({overlap}, {SHARED_LEAST} + {smallest} div {SHARED_PART}) AS int)")
     sets = counted.unionByName(long).groupBy("set", "n").agg(F.sort_array(F.collect_set("entry")).alias("entries"))
     open_lists = F.slice("entries", 1, F.size("entries") - needed + 1)
     return sets.where(F.size("entries") >= needed).select("set", "n", F.explode(open_lists).alias("e")).select("set", "n", "e.shingle")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold_ascii, new_folder, stage, text_or_empty
+from tidemark.llm.repeats import id_key, maybe_touched
 
 #: Arrival files in one micro-batch; all files are read.
 FILES_PER_BATCH = 10_000
@@ -119,16 +120,17 @@ def exact_groups(
         .select("digest", "last.rows", F.col("last.place.doc_id").alias("keep_id"), F.col("last.place.locator").alias("locator"))
     )
     state = stage(state, "state")
-    # Bytes are compared on hits alone, whose texts are staged once. The side of the hits is split
-    # by AQE where one digest has very many; there is one kept text per digest.
+    # Bytes are compared on hits alone: a fixed-size filter drops most other texts before the
+    # shuffle. Hits and kept texts are staged, so AQE can split a digest with very many hits.
     repeated = state.where("rows > 1").select("digest", "locator")
-    hits = stage(
-        read.select("doc_id", "norm", digest(F.col("norm")).alias("digest")).join(repeated, "digest"), "hits"
-    )
-    keepers = (
+    ids = kept_rows.join(repeated, "digest", "left_semi").select(id_key().alias("id"))
+    texts = maybe_touched(read.select(id_key().alias("id"), "doc_id", "norm"), stage(ids, "ids"))
+    hits = stage(texts.select("doc_id", "norm", digest(F.col("norm")).alias("digest")).join(repeated, "digest"), "hits")
+    keepers = stage(
         hits.where("doc_id <=> locator")
         .groupBy(F.col("digest").alias("k_digest"))
-        .agg(F.max("norm").alias("k_norm"))
+        .agg(F.max("norm").alias("k_norm")),
+        "keepers",
     )
     other = stage(
         hits.join(keepers, F.col("digest") == F.col("k_digest"))
@@ -170,6 +172,8 @@ def keep_one(docs: DataFrame, *, text: str = "text") -> DataFrame:
     kept = groups.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count(F.lit(1)).alias("_n"))
     own = F.sha2(fold_ascii(text_or_empty(text)), 256)
     rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_sha"))).drop("_id", "_sha")
+    if kept.where("_n > 1").isEmpty():  # no row is repeated, so the texts are read once
+        return rows.drop("_n")
     names = [c for c in rows.columns if c != "_n"]
     once = rows.where("_n = 1").drop("_n")
     return once.unionByName(rows.where("_n > 1").drop("_n").dropDuplicates(["doc_id"]).select(names))

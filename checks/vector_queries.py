@@ -91,7 +91,7 @@ _HIT = f"{_SIM}, 'page ' || page_id AS title, url AS source_url, '2024-01-31' AS
 @check("hits_with_pages", S.BEST + f" SELECT page_id, {_HIT}", ("v3",))
 def _(spark, sf):
     top = retrieval.top_k_pages(_best(spark, sf), TOP_K)
-    return _out(retrieval.hits_with_pages(top, titled_pages(spark, sf), k=TOP_K))
+    return _out(retrieval.hits_with_pages(top, titled_pages(spark, sf)))
 
 
 @check("search", S.BEST + f" SELECT page_id AS row_id, {_HIT}", ("v3",))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import HashedEmbedder
 from tidemark.operators.drift import domain_run_stats, run_drift
-from tidemark.operators.rules import apply_rules
+from tidemark.operators.rules import Rule, apply_rules
 from tidemark.plans import reports
 from tidemark.plans.bronze import (
     check_quality,
@@ -17,6 +17,7 @@ from tidemark.plans.bronze import (
     quality_report,
     run_bronze_checks,
 )
+from tidemark.plans.crawl import extract_pages
 from tidemark.plans.search import refresh, scan_stats, search, search_or_refresh
 from tidemark.plans.silver import build_silver, write_silver
 from tidemark.schemas import BRONZE, LANDING
@@ -25,13 +26,13 @@ from tidemark.sources import lake as tables
 from tidemark.sources.lake import Lake
 from tidemark.streaming.ingest import stream_to_lake
 
-TEXT = "Markets watch the Federal Reserve decision today and tomorrow."
+TEXT = "A reef survey found more coral this spring than in the ten years before it."
 
 
 def article(**changes):
     row = {
-        "title": "Fed decision", "date_published": "2026-04-28", "text": TEXT, "source_url": "https://cnbc.com/fed",
-        "source_domain": "cnbc.com", "relevance_score": 1.0, "query": "Fed", "crawled_at": "2026-04-28T00:00:00+00:00",
+        "title": "Coral survey", "date_published": "2026-04-27", "text": TEXT, "source_url": "https://reef.example/survey",
+        "source_domain": "reef.example", "relevance_score": 0.9, "query": "coral", "crawled_at": "2026-04-28T00:00:00+00:00",
     }
     return {**row, **changes}
 
@@ -78,8 +79,8 @@ def test_landing_edge_cases(spark, tmp_path):
 
 
 def test_first_row_wins_over_url_variants_and_text_drift(spark, tmp_path, lake):
-    land(spark, tmp_path / "in", "1", [article(source_url="https://CNBC.com/fed?utm=x", text=TEXT + " one")])
-    land(spark, tmp_path / "in", "2", [article(source_url="https://cnbc.com/fed#s", crawled_at="2026-04-28T15:30:00+00:00", text=TEXT + " two")])
+    land(spark, tmp_path / "in", "1", [article(source_url="https://REEF.example/survey?utm=x", text=TEXT + " one")])
+    land(spark, tmp_path / "in", "2", [article(source_url="https://reef.example/survey#s", crawled_at="2026-04-28T15:30:00+00:00", text=TEXT + " two")])
     assert ingest_bronze(spark, str(tmp_path / "in"), lake) == 1
     (row,) = lake.read(tables.BRONZE).collect()
     assert row.text == TEXT + " one" and row.bronze_id.startswith("bronze_")
@@ -95,12 +96,14 @@ def test_append_is_idempotent_and_audited(spark, tmp_path, lake):
     assert (first.status, first.rows_in, first.rows_out) == ("partial", 2, 1)
     assert second_details["rows_skipped_duplicate"] == 1 and second.rows_out == 0
     assert first_details["rows_quarantined"] == 1 and first_details["quality_run_id"].startswith("qrun_")
+    found = {r.run_id for r in lake.read(tables.QUARANTINE_RUNS).collect()}  # each run finds its rows
+    assert found == {first_details["quality_run_id"], second_details["quality_run_id"]}
     (bad,) = lake.read(tables.QUARANTINE).collect()  # not quarantined a second time
     assert bad["_failure_reasons"] == ["text: length_50_to_8000"] and bad["_quality_run_id"] == first_details["quality_run_id"]
     shown = reports.lake_quality_history(lake).orderBy("Run Started").collect()
     assert [r["Rows Failed"] for r in shown] == [1, 1]
     assert shown[0]["Checks Failed"] == "text: 1 failed (length_50_to_8000)"
-    assert shown[0]["Drift Findings"] == "cnbc.com: baseline (no prior runs to compare)"
+    assert shown[0]["Drift Findings"] == "reef.example: baseline (no prior runs to compare)"
 
 
 def test_overwrite_replaces_rows(spark, tmp_path, lake, caplog):
@@ -131,13 +134,18 @@ def test_without_validation_everything_is_kept(spark, tmp_path, lake):
     assert not lake.exists(tables.QUARANTINE) and not lake.exists(tables.QUALITY_RUNS)
 
 
-def test_failing_embedder_skips_the_title_check(spark, tmp_path, lake):
+def test_only_a_missing_embedder_skips_the_title_check(spark, tmp_path, lake):
     class Broken(HashedEmbedder):
         def embed(self, text):
             raise RuntimeError("no model")
 
+    def no_model():
+        raise RuntimeError("no model")
+
     land(spark, tmp_path / "in", "1", [article()])
-    assert ingest_bronze(spark, str(tmp_path / "in"), lake, embedder=Broken()) == 1
+    assert ingest_bronze(spark, str(tmp_path / "in"), lake, embedder=no_model) == 1
+    with pytest.raises(RuntimeError, match="no model"):  # an error of the check itself is no success
+        ingest_bronze(spark, str(tmp_path / "in"), lake, embedder=Broken())
 
 
 def test_check_quality_compares_newest_ingest_with_older_ones(spark, tmp_path, lake):
@@ -145,13 +153,13 @@ def test_check_quality_compares_newest_ingest_with_older_ones(spark, tmp_path, l
         check_quality(lake)
     for day, n in ((1, 4), (2, 4), (3, 4), (4, 1)):
         folder = str(tmp_path / f"in{day}")
-        rows = [article(title=f"Story {day} {i}", source_url=f"https://cnbc.com/{day}/{i}", crawled_at=f"2026-04-0{day}T00:00:00+00:00") for i in range(n)]
+        rows = [article(title=f"Story {day} {i}", source_url=f"https://reef.example/{day}/{i}", crawled_at=f"2026-04-0{day}T00:00:00+00:00") for i in range(n)]
         land(spark, folder, "1", rows)
         ingest_bronze(spark, folder, lake, mode="append", embedder=None, ingested_at=f"2026-04-0{day}T01:00:00+00:00")
     result = check_quality(lake)
     assert (result.status, result.rows_in) == ("warn", 13)
     lines = quality_report(result)
-    assert lines[0] == "status: warn" and "[cnbc.com] rows: rows dropped to 25% of trailing-3 mean" in lines
+    assert lines[0] == "status: warn" and "[reef.example] rows: rows dropped to 25% of trailing-3 mean" in lines
     assert lake.read(tables.DRIFT_FINDINGS).where(F.col("run_id") == result.run_id).count() == result.n_drift == 2
 
 
@@ -213,7 +221,7 @@ def test_lost_pages_are_made_good(spark, tmp_path, lake):
 def test_record_run(lake):
     with pytest.raises(ValueError, match="boom"), audit.record_run("bad", lake, query="q"):
         raise ValueError("boom" + "x" * 900)
-    with pytest.raises(ValueError, match="status must be"), audit.record_run("worse", lake) as handle:
+    with pytest.raises(ValueError, match="unknown run status"), audit.record_run("worse", lake) as handle:
         handle.set_status("great")
     (row, _), = runs(lake, "bad")
     assert row.status == "fail" and len(row.error) == 500 and row.query == "q" and row.duration_ms >= 0
@@ -250,14 +258,15 @@ def test_search_and_refresh(spark, tmp_path, lake):
     (hit,) = result.hits.collect()
     assert hit.title == "Chips" and "news & analysis" in hit.text and 0.3 < hit.similarity <= 1.0
     again = search_or_refresh(lake, query, lambda q: 1 / 0, threshold=0.3, min_articles=1)
-    assert not again.refreshed and again.status_message.startswith("cache hit")
+    assert not again.refreshed and again.status_message.startswith("enough matches")
     with pytest.raises(ValueError):
         search_or_refresh(lake, query, refresher, force=True, no_refresh=True)
     stats = scan_stats(lake, query, threshold=0.3).first()
     assert stats.n_above >= 1 and stats.n_pages == lake.read(tables.PAGES).count()
     (crawl, details), = runs(lake, "crawl")
     assert (crawl.status, crawl.rows_out, details["n_sites"]) == ("success", 2, 1)
-    assert details["sites"][0]["pages_dropped"] == 1
+    (site,) = lake.read(tables.SITE_STATS).where(F.col("run_id") == crawl.run_id).collect()
+    assert (site.pages_fetched, site.pages_kept, site.pages_dropped, site.error) == (3, 2, 1, None)
     report = reports.latest_report(lake, str(tmp_path / "data"), n=1)
     assert report["rows"] == 2 and report["preview"].count() == 1 and len(report["preview"].first().text) <= 200
 
@@ -280,8 +289,7 @@ def test_stream_takes_each_file_once(spark, tmp_path, lake):
     assert step() == (2, 2, 2)
 
 
-def test_large_findings_stay_whole_in_their_tables(spark, lake, monkeypatch):
-
+def test_findings_stay_whole_in_their_tables(spark, lake):
     rows = [
         (f"bronze_{i:064x}", f"Same title {i // 3} {i // 3}", None, TEXT, f"https://c.com/{i}", f"d{i}", 1.0, "q", "2026-04-28", "f", "2026-04-28")
         for i in range(9)
@@ -289,16 +297,54 @@ def test_large_findings_stay_whole_in_their_tables(spark, lake, monkeypatch):
     df = spark.createDataFrame(rows, BRONZE)
     result = run_bronze_checks(apply_rules(df), drift=run_drift(df, None), embedder=HashedEmbedder())
     assert result.n_drift == 9 and result.n_clusters == 3
-    assert ["titles" in c for c in audit.duplicate_clusters(result, limit=2)] == [False, False]
-    assert ["titles" in c for c in audit.duplicate_clusters(result, limit=7)] == [True, True, False]
-    whole = audit.duplicate_clusters(result)
-    assert sorted(b[-1] for c in whole for b in c["bronze_ids"]) == list("012345678")
-
-    monkeypatch.setattr(audit, "INLINE_FINDINGS", 2)
     audit.append_quality_run(result, lake)
     assert lake.read(tables.DRIFT_FINDINGS).count() == 9
     assert lake.read(tables.DUPLICATE_MEMBERS).count() == 9
     shown = reports.lake_quality_history(lake).first()
     note = "(no prior runs to compare)"
-    assert shown["Drift Findings"] == f"d0: baseline {note}; d1: baseline {note}; +7 more"
+    assert shown["Drift Findings"] == f"d0: baseline {note}; d1: baseline {note}; d2: baseline {note}; +6 more"
     assert shown["Duplicate Clusters"].startswith("3 cluster(s); max size 3")
+
+
+def test_user_rules_take_the_place_of_the_own_ones(spark, tmp_path, lake):
+    land(spark, tmp_path / "in", "1", [article(text="Short."), article(title="Draft")])
+    rule = Rule("title", "no_draft", F.col("title") == "Draft")
+    assert ingest_bronze(spark, str(tmp_path / "in"), lake, embedder=None, rules=[rule]) == 1
+    (bad,) = lake.read(tables.QUARANTINE).collect()
+    assert bad["_failure_reasons"] == ["title: no_draft"]
+    assert check_quality(lake, rules=[Rule("text", "long", F.length("text") < 50)]).rows_failed == 1
+
+
+def test_site_filters_errors_and_whole_bodies(spark, tmp_path, lake):
+    body = "<html><body><p>" + "coral reef survey results. " * 600 + "</p></body></html>"
+    pages = [
+        (1, "https://a.example.com/2026/x", body),
+        (2, "https://a.example.com/about", body),
+        (3, "https://b.example.com/2026/y", body),
+        (4, "https://a.example.com/2026/z", None),
+        (5, "https://a.example.com/2026/pdf", "%PDF-1.7 " + "x" * 2000),
+        (6, None, body),
+    ]
+    path = str(tmp_path / "pages")
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(path)
+    sites = [{"url": "https://a.example.com/", "url_patterns": ("*/2026/*",), "include_external": False}]
+    how = {"query": "coral", "data_dir": str(tmp_path / "data")}
+    out = extract_pages(lake, path, crawled_at="2026-04-28T00:00:00+00:00", sites=sites, text_cap=None, **how)
+    (row,) = landing.read_landing_file(spark, out).collect()
+    assert row.source_url.endswith("/2026/x") and len(row.text) > 8000
+    (run, details), = runs(lake, "crawl")
+    assert (run.status, details["n_errors"]) == ("partial", 1)
+    (site,) = lake.read(tables.SITE_STATS).collect()
+    assert (site.pages_fetched, site.error) == (1, "no content stored")
+    cut = extract_pages(lake, path, crawled_at="2026-04-29T00:00:00+00:00", **how)
+    rows = landing.read_landing_file(spark, cut).collect()
+    assert len(rows) == 5 and max(len(r.text) for r in rows) == 8000  # the page without a URL is kept
+
+
+def test_jobs_leave_no_staged_folder(spark, tmp_path, lake):
+    land(spark, tmp_path / "in", "1", [article(), article(title="Bad", text="Short.")])
+    ingest_bronze(spark, str(tmp_path / "in"), lake)
+    build_silver(lake)
+    check_quality(lake)
+    staged = tmp_path / "lake" / "_staging"
+    assert not staged.exists() or not list(staged.iterdir())

@@ -55,9 +55,10 @@ def markdown_fields(fit: Column, raw: Column, plain: Column) -> tuple[Column, Co
     )
 
 
-def extract_body(candidates: Sequence[Column], cap: int = TEXT_CHAR_CAP) -> Column:
-    """First non-empty body, cut to the record's text cap; empty text when there is none."""
-    return F.left(F.coalesce(first_truthy(*candidates), F.lit("")), F.lit(cap))
+def extract_body(candidates: Sequence[Column], cap: int | None = TEXT_CHAR_CAP) -> Column:
+    """First non-empty body, cut to the record's text cap if any; empty text when there is none."""
+    body = F.coalesce(first_truthy(*candidates), F.lit(""))
+    return body if cap is None else F.left(body, F.lit(cap))
 
 
 def extract_title(explicit: Sequence[Column], body: Column) -> Column:
@@ -93,12 +94,16 @@ def extract_score(*candidates: Column) -> Column:
     return F.when(~java_suffix, text).try_cast("double")
 
 
-def normalize_records(pages: DataFrame, *, query: str, crawled_at: str) -> DataFrame:
-    """Raw pages to landing records with one query and one crawl stamp; row by row, no shuffle."""
+def normalize_records(
+    pages: DataFrame, *, query: str, crawled_at: str, text_cap: int | None = TEXT_CHAR_CAP
+) -> DataFrame:
+    """Raw pages to landing records with one query and one crawl stamp; row by row, no shuffle.
+
+    Bodies are cut to ``text_cap`` characters; None keeps them whole.
+    """
     f = PageFields(pages)
-    body = extract_body(
-        [f.text(n) for n in ("fit_markdown", "raw_markdown", "markdown", "content", "text")]
-    )
+    fit, raw = markdown_fields(f.text("fit_markdown"), f.text("raw_markdown"), f.text("markdown"))
+    body = extract_body([fit, raw, *(f.text(n) for n in ("markdown", "content", "text"))], text_cap)
     title = [f.text("title"), f.meta("og:title"), f.meta("title")]
     date = [
         f.text("date_published"),

@@ -50,6 +50,17 @@ def site_patterns(sites: Sequence[dict] = SITES) -> Column:
     return branches
 
 
+def passes_site(sites: Sequence[dict] = SITES) -> Column:
+    """Predicate over stored pages (``start_url``, ``url``, ``html``): the page is HTML, on its
+    site's host or an allowed external one, and matches its site's globs."""
+    passes = F.lit(False)
+    for site in sites:
+        own = on_site(F.col("url"), F.col("start_url"), F.lit(site.get("include_external", False)))
+        fits = own & matches_any_pattern(F.col("url"), site["url_patterns"])
+        passes = F.when(url_domain(F.col("start_url")) == url_domain(F.lit(site["url"])), fits).otherwise(passes)
+    return F.coalesce(passes, F.lit(False)) & (F.col("html").isNull() | is_html(F.col("html")))
+
+
 def split_query_terms(query: str) -> list[str]:
     """Whitespace-separated terms; a blank query is its own single term."""
     return query.split() or [query]

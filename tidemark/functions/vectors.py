@@ -54,19 +54,6 @@ def dot_similarity(vector: Column, query: Sequence[float]) -> Column:
     return score.asNondeterministic()(vector)
 
 
-def dot_product(left: Column, right: Column) -> Column:
-    """Dot product of two vector columns, summed in double."""
-    products = F.zip_with(left, right, lambda a, b: a.cast("double") * b)
-    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
-
-
-def l2_norm(vector: Column) -> Column:
-    """Euclidean length."""
-    return F.sqrt(
-        F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
-    )
-
-
 def l2_normalize(vector: Column) -> Column:
     """Scale to unit length; a zero vector stays zero."""
 

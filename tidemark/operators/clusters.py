@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.constants import TITLE_MIN_CHARS, TITLE_SIMILARITY
 from tidemark.functions.vectors import Embedder
 from tidemark.operators.similarity import similarity_links
-from tidemark.session import cut_lineage, stage
+from tidemark.session import delete_folder, stage, stage_to
 
 MAX_ROUNDS = 60
 
@@ -63,13 +63,16 @@ def connected_labels(
     current = edges.select(
         F.greatest(left, right).alias("u"), F.least(left, right).alias("v")
     )
-    current = cut_lineage(current.where(F.col("u") != F.col("v")).distinct())
+    spark = edges.sparkSession
+    current, folder = stage_to(current.where(F.col("u") != F.col("v")).distinct(), "stars")
     for _ in range(max_rounds):
         if _all_stars(current):
             stars = current.select(F.col("u").alias("id"), F.col("v").alias("label"))
             roots = current.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()
             return stars.unionByName(roots)
-        current = cut_lineage(_small_star(_large_star(current)))
+        last = folder
+        current, folder = stage_to(_small_star(_large_star(current)), "stars")
+        delete_folder(spark, last)  # each round is written before the one it came from goes
     raise RuntimeError(f"connected groups not settled after {max_rounds} rounds")
 
 

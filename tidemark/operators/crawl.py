@@ -14,20 +14,35 @@ def page_gate(pages: DataFrame) -> DataFrame:
 
     Failed fetches and the start page itself are left out and not counted. A page is kept when
     its raw body or its query-filtered body is long enough; ``keep = false`` counts as dropped.
+    A page without a URL is no start page.
     """
     slash = F.lit("/")
-    is_hub = F.rtrim(F.col("url"), slash) == F.rtrim(F.col("start_url"), slash)
+    same = F.rtrim(F.col("url"), slash) == F.rtrim(F.col("start_url"), slash)
+    is_hub = F.coalesce(same, F.lit(False))
     fit, raw = (F.coalesce(F.col(c), F.lit("")) for c in ("fit_markdown", "raw_markdown"))
     return pages.where(F.coalesce("success", F.lit(False)) & ~is_hub).withColumn(
         "keep", (F.length(raw) >= MIN_RAW_CHARS) | (F.length(fit) >= MIN_FIT_CHARS)
     )
 
 
-def site_stats(gated: DataFrame) -> DataFrame:
-    """Per site: pages fetched, kept and dropped, and one error when the site had any."""
+def failed_pages(pages: DataFrame) -> DataFrame:
+    """Start URL and error of every page whose fetch failed."""
+    error = F.col("error") if "error" in pages.columns else F.lit(None).cast("string")
+    failed = pages.where(~F.coalesce("success", F.lit(False)))
+    return failed.select("start_url", F.coalesce(error, F.lit("fetch failed")).alias("error"))
+
+
+def site_stats(gated: DataFrame, failed: DataFrame | None = None) -> DataFrame:
+    """Per site: pages fetched, kept and dropped, and one error when the site had any.
+
+    ``failed`` adds the errors of :func:`failed_pages`, which count as no fetched page.
+    """
     error = F.col("error") if "error" in gated.columns else F.lit(None).cast("string")
-    return gated.groupBy(url_domain(F.col("start_url")).alias("site"), "start_url").agg(
-        F.count("*").alias("pages_fetched"),
+    rows = gated.select("start_url", "keep", error.alias("error"))
+    if failed is not None:
+        rows = rows.unionByName(failed, allowMissingColumns=True)
+    return rows.groupBy(url_domain(F.col("start_url")).alias("site"), "start_url").agg(
+        F.count("keep").alias("pages_fetched"),
         F.count_if("keep").alias("pages_kept"),
         F.count_if(~F.col("keep")).alias("pages_dropped"),
         F.min(error).alias("error"),

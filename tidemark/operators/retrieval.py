@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import VECTOR, dot_similarity
-from tidemark.session import SMALL_ROWS
 
 
 def score_chunks(
@@ -49,16 +48,15 @@ def top_k_pages(best: DataFrame, k: int) -> DataFrame:
 
 
 def hits_with_pages(
-    hits: DataFrame, pages: DataFrame, *, k: int, keys: Sequence[str] = ("page_id",)
+    hits: DataFrame, pages: DataFrame, *, keys: Sequence[str] = ("page_id",)
 ) -> DataFrame:
     """Hits joined to their page's title, URL, crawl stamp and text.
 
-    ``hits`` has at most ``k`` rows. Up to a fixed size it is broadcast, so pages are neither
-    shuffled nor sorted.
+    Spark broadcasts the hits where it measures them as small; with the crawl day among the
+    keys it then reads only the partitions of the hits.
     """
-    side = F.broadcast(hits) if k <= SMALL_ROWS else hits
     columns = [*keys, "title", "source_url", "crawled_at", "text"]
-    return pages.select(*columns).join(side, list(keys))
+    return pages.select(*columns).join(hits, list(keys))
 
 
 def order_hits(hits: DataFrame) -> DataFrame:
@@ -92,7 +90,7 @@ def search_pages(
     """The whole search as one lazy plan. ``top_k`` applies before the join, so a page missing
     from ``pages`` leaves fewer rows."""
     best = best_pages(chunks, query, threshold=threshold, top_k=top_k)
-    return order_hits(hits_with_pages(best, pages, k=top_k))
+    return order_hits(hits_with_pages(best, pages))
 
 
 def mean_pool(df: DataFrame, *, key: str, vector: str, dim: int) -> DataFrame:

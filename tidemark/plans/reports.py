@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.reports import (
+    drift_line,
     summarize_checks,
     summarize_drift,
     summarize_duplicates,
@@ -52,8 +53,29 @@ def quality_history(runs: DataFrame, n: int = 25, *, raw: bool = True) -> DataFr
 
 
 def lake_quality_history(lake: Lake, n: int = 25, *, raw: bool = True) -> DataFrame:
-    """The quality runs of a lake; a typed empty frame when there are none."""
-    return quality_history(lake.read(tables.QUALITY_RUNS), n, raw=raw)
+    """The quality runs of a lake; a typed empty frame when there are none.
+
+    Audit rows only count drift findings. The first three of each shown run, by domain and
+    metric, come from the findings table.
+    """
+    shown = quality_history(lake.read(tables.QUALITY_RUNS), n, raw=raw)
+    found = lake.read(tables.DRIFT_FINDINGS).join(shown.select(F.col("Run ID").alias("run_id")), "run_id", "left_semi")
+    order = Window.partitionBy("run_id").orderBy("domain", "metric")
+    first = (
+        found.withColumn("place", F.row_number().over(order))
+        .where("place <= 3")
+        .groupBy(F.col("run_id").alias("Run ID"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", "domain", "metric", "note"))).alias("items"))
+    )
+    totals = found.groupBy(F.col("run_id").alias("Run ID")).agg(F.count("*").alias("total"))
+    line = drift_line(F.col("items"), F.col("total"))
+    names = shown.columns
+    joined = shown.join(first, "Run ID", "left").join(totals, "Run ID", "left")
+    return (
+        joined.withColumn("Drift Findings", F.coalesce(line, F.col("Drift Findings")))
+        .select(names)
+        .orderBy(F.desc("Run Started"), "Run ID")
+    )
 
 
 def run_history(runs: DataFrame, columns: list[str], n: int) -> DataFrame:

@@ -18,12 +18,12 @@ from tidemark.operators.retrieval import (
     score_chunks,
     search_stats,
 )
-from tidemark.plans.bronze import ingest_bronze
+from tidemark.plans.bronze import ingest_datasets
 from tidemark.plans.crawl import extract_pages
 from tidemark.plans.silver import build_silver
 from tidemark.schemas import HITS
-from tidemark.session import SMALL_ROWS
 from tidemark.sources import lake as tables
+from tidemark.sources.audit import utc_now_iso
 from tidemark.sources.lake import DAY, Lake
 
 log = logging.getLogger(__name__)
@@ -45,23 +45,17 @@ def search(
 ) -> DataFrame:
     """The best pages for a query; empty when silver is.
 
-    The chunks are ranked first. The hits, at most ``top_k`` rows, carry their crawl day, so the
-    page partitions to read are known before the second step.
+    The chunks are ranked first. The hits, at most ``top_k`` rows, carry their crawl day, which
+    prunes the page partitions when the join runs.
     """
     if not (lake.exists(tables.CHUNKS) and lake.exists(tables.PAGES)):
         return lake.spark.createDataFrame([], HITS)
-    keys, days = ("page_id", DAY), None
+    keys = ("page_id", DAY)
     chunks = lake.read(tables.CHUNKS, [*keys, "embedding"])
     vector = query_vector(lake, query, embedder or HashedEmbedder())
     best = best_pages(chunks, vector, threshold=threshold, top_k=top_k, keys=keys)
-    if top_k <= SMALL_ROWS:
-        rows = best.collect()
-        best = lake.spark.createDataFrame(rows, best.schema)
-        days = sorted({row[DAY] for row in rows})
-    pages = lake.read(
-        tables.PAGES, [*keys, "title", "source_url", "crawled_at", "text"], days=days
-    )
-    return order_hits(hits_with_pages(best, pages, k=top_k, keys=keys))
+    pages = lake.read(tables.PAGES, [*keys, "title", "source_url", "crawled_at", "text"])
+    return order_hits(hits_with_pages(best, pages, keys=keys))
 
 
 def scan_stats(
@@ -97,11 +91,15 @@ def refresh(
     crawled_at: str | None = None,
     embedder: Embedder | None = None,
 ) -> tuple[int, int, int]:
-    """Stored pages to landing, bronze and silver; returns rows written to each lake table."""
-    extract_pages(lake, pages_path, query=query, data_dir=data_dir, crawled_at=crawled_at)
+    """Stored pages to landing, bronze and silver; returns rows written to each lake table.
+
+    Only the dataset just written is ingested, and only its crawl day is promoted.
+    """
+    stamp = crawled_at or utc_now_iso()
+    path = extract_pages(lake, pages_path, query=query, data_dir=data_dir, crawled_at=stamp)
     embedder = embedder or HashedEmbedder()
-    rows = ingest_bronze(lake.spark, data_dir, lake, mode="append", embedder=embedder)
-    return rows, *build_silver(lake, embedder=embedder)
+    rows = ingest_datasets(lake.spark, [path], lake, mode="append", embedder=embedder)
+    return rows, *build_silver(lake, embedder=embedder, days=[stamp[:10]])
 
 
 def search_or_refresh(
@@ -122,22 +120,20 @@ def search_or_refresh(
 
     def hits() -> tuple[DataFrame, int]:
         found = search(lake, query, threshold=threshold, top_k=top_k, embedder=embedder)
-        rows = found.collect()  # at most top_k
-        return lake.spark.createDataFrame(rows, HITS), len(rows)
+        return found, found.count()
 
     result, initial = (lake.spark.createDataFrame([], HITS), 0) if force else hits()
     final, compared = initial, f"{initial} < {min_articles} articles above {threshold}"
     refreshing = force or (initial < min_articles and not no_refresh)
     if refreshing:
-        message = f"cache miss ({compared}); refreshing"
+        message = f"too few matches in the lake ({compared}); refreshed"
         refresher(query)
         result, final = hits()
     elif initial < min_articles:
-        message = f"cache below minimum ({compared}), refresh not allowed; returning what there is"
+        message = f"too few matches in the lake ({compared}); refresh not allowed"
     else:
         message = (
-            f"cache hit ({initial} >= {min_articles} articles above {threshold}); "
-            "returning cached matches"
+            f"enough matches in the lake ({initial} >= {min_articles} articles above {threshold})"
         )
     return QueryResult(
         query, result, initial, final, refreshing, threshold, min_articles, top_k, message

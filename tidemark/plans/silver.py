@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from tidemark.schemas import CHUNKS, PAGES
 from tidemark.session import stage, staging
 from tidemark.sources import lake as tables
 from tidemark.sources.audit import record_run, utc_now_iso
-from tidemark.sources.lake import FEW_DAYS, Lake, days_of
+from tidemark.sources.lake import DAY, Lake, days_of
 
 log = logging.getLogger(__name__)
 
@@ -87,18 +88,21 @@ def build_silver(
     chunk_overlap: int = CHUNK_OVERLAP,
     rebuild: bool = False,
     since_day: str | None = None,
+    days: Sequence[str] | DataFrame | None = None,
     embedded_at: str | None = None,
 ) -> tuple[int, int]:
     """Promote new bronze rows (all of them on ``rebuild``); returns (pages, chunks) written.
 
-    ``since_day`` limits both sides of the lookup to the crawl days from then on. Chunks are
+    ``since_day`` limits both sides of the lookup to the crawl days from then on, ``days`` to
+    those days. The lookup moves ids and days only; the text of the new rows is then read from
+    their own days. Chunks are
     written before pages, and each table only gets ids it lacks: pages decide what is new, so
     a crash between the two writes is made good by the next run.
     """
     embedder = embedder or HashedEmbedder()
     settings = chunk_settings(embedder, chunk_tokens, chunk_overlap)
-    with staging(lake.spark):
-        return _promote(lake, embedder, settings, rebuild, since_day, embedded_at or utc_now_iso())
+    with staging(lake.spark, lake.staging):
+        return _promote(lake, embedder, settings, rebuild, since_day, days, embedded_at or utc_now_iso())
 
 
 def _promote(
@@ -107,25 +111,27 @@ def _promote(
     settings: tuple[int, int],
     rebuild: bool,
     since_day: str | None,
+    within: Sequence[str] | DataFrame | None,
     stamp: str,
 ) -> tuple[int, int]:
     size, overlap = settings
     columns = ["bronze_id", "title", "date_published", "text", "source_url", "source_domain",
                "query", "crawled_at"]
-    bronze = lake.read(tables.BRONZE, [*columns, tables.DAY])
-    if since_day is not None:
-        bronze = bronze.where(F.col(tables.DAY) >= since_day)
+
+    def ids(table) -> DataFrame:
+        rows = lake.read(table, ["bronze_id", DAY], days=within)
+        return rows if since_day is None else rows.where(F.col(DAY) >= since_day)
+
+    todo = ids(tables.BRONZE)
     if not rebuild and lake.exists(tables.PAGES):
-        done = lake.read(tables.PAGES, ["bronze_id", tables.DAY])
-        if since_day is not None:
-            done = done.where(F.col(tables.DAY) >= since_day)
-        bronze = new_silver_rows(bronze, done)
-    fresh = bronze.drop(tables.DAY)
-    days = days_of(fresh)
-    if days == []:
+        todo = new_silver_rows(todo, ids(tables.PAGES))
+    todo = stage(todo.distinct(), "todo")
+    if todo.isEmpty():
         log.info("no new bronze rows")
         return 0, 0
-    few_days = days is not None and len(days) <= FEW_DAYS
+    days = stage(todo.select(DAY).distinct(), "days")
+    bronze = lake.read(tables.BRONZE, [*columns, DAY], days=days)
+    fresh = bronze.join(todo, ["bronze_id", DAY], "left_semi").drop(DAY)
 
     # Cleaning and embedding happen once, here; the staged pages feed the count, the chunks and
     # the write. Chunks go straight to their table.
@@ -138,8 +144,8 @@ def _promote(
         chunks = build_chunks(
             pages, embedder, embedded_at=stamp, chunk_tokens=size, chunk_overlap=overlap
         )
-        _write(lake, tables.CHUNKS, chunks, "chunk_id", rebuild, few_days, days)
-        _write(lake, tables.PAGES, pages, "page_id", rebuild, few_days, days)
+        _write(lake, tables.CHUNKS, chunks, "chunk_id", rebuild, days)
+        _write(lake, tables.PAGES, pages, "page_id", rebuild, days)
         written = lake.read(tables.CHUNKS, ["embedded_at"], days=days)
         n_chunks = written.where(F.col("embedded_at") == stamp).count()
         handle.rows_out = n_chunks
@@ -149,17 +155,17 @@ def _promote(
     return n_pages, n_chunks
 
 
-def _write(lake, table, rows: DataFrame, key: str, rebuild: bool, few_days: bool, days) -> None:
+def _write(lake, table, rows: DataFrame, key: str, rebuild: bool, days) -> None:
     if rebuild:
-        lake.overwrite(table, rows, few_days=few_days)
+        lake.overwrite(table, rows)
         return
     if lake.exists(table):
         rows = rows_not_in(rows, lake.read(table, [key], days=days), [key])
-    lake.append(table, rows, few_days=few_days)
+    lake.append(table, rows)
 
 
 def write_silver(pages: DataFrame, chunks: DataFrame, lake: Lake, *, mode: str = "append") -> None:
     """Align and write both silver tables, chunks first."""
     for table, rows, key in ((tables.CHUNKS, chunks, "chunk_id"), (tables.PAGES, pages, "page_id")):
         aligned = align_frame(rows, table.schema)
-        _write(lake, table, aligned, key, mode == "overwrite", False, days_of(aligned))
+        _write(lake, table, aligned, key, mode == "overwrite", days_of(aligned))

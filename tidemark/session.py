@@ -1,8 +1,8 @@
-"""Session helpers: where intermediate tables go, and what size counts as small."""
+"""Where intermediate tables go."""
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,55 +10,67 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows a frame may have, by construction, to be broadcast or collected as run metadata.
-SMALL_ROWS = 10_000
+_JOB_FOLDER: ContextVar[str | None] = ContextVar("job_folder", default=None)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster.
+    """The shared folder that ``spark.checkpoint.dir`` names.
 
-    Only a session without one (a local test) gets a folder of its own.
+    In local mode, where all tasks share one disk, a session without the setting gets a folder
+    in its warehouse, deleted when Python exits. On a cluster the setting is needed.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staging-{uuid.uuid4().hex}"
+        atexit.register(_leave, spark, root)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of any executor."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-_JOB_FOLDER: ContextVar[str | None] = ContextVar("job_folder", default=None)
+def _leave(spark: SparkSession, root: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        delete_folder(spark, root)
 
 
 @contextmanager
-def staging(spark: SparkSession) -> Iterator[None]:
-    """Keep what a job stages in one folder, deleted when the job ends, however it ends."""
+def staging(spark: SparkSession, root: str | None = None) -> Iterator[None]:
+    """Keep what a job stages in one folder, deleted when the job ends, however it ends.
+
+    Jobs on a lake pass a folder of the lake, so what they stage is where their tables are.
+    """
     if _JOB_FOLDER.get() is not None:
         yield
         return
-    folder = f"{checkpoint_root(spark)}/job-{uuid.uuid4().hex}"
+    folder = f"{root or checkpoint_root(spark)}/job-{uuid.uuid4().hex}"
     token = _JOB_FOLDER.set(folder)
     try:
         yield
     finally:
         _JOB_FOLDER.reset(token)
-        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        delete_folder(spark, folder)
+
+
+def stage_to(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """:func:`stage`, and the folder of the copy."""
+    spark = df.sparkSession
+    path = f"{_JOB_FOLDER.get() or checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several jobs read to the shared folder, and read it back.
 
-    Unlike a checkpoint the copy is columnar, so each later pass reads only its own columns.
-    Outside :func:`staging` it stays until the folder is cleaned, as checkpoint files do.
+    This cuts the lineage like a checkpoint: the rows survive the loss of any executor. Unlike
+    one the copy is columnar, so each later pass reads only its own columns. Outside
+    :func:`staging` it stays until the folder is cleaned, as checkpoint files do.
     """
-    spark = df.sparkSession
-    path = f"{_JOB_FOLDER.get() or checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stage_to(df, name)[0]

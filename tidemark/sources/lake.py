@@ -25,10 +25,6 @@ from tidemark.operators.shaping import align_frame
 from tidemark.sources.storage import list_paths, make_folder
 
 DAY = "crawl_day"
-#: Up to this many days, a batch is written without regrouping it by day first.
-FEW_DAYS = 4
-#: Above this many days, a lookup reads all of them instead of listing them in the plan.
-MANY_DAYS = 1000
 
 
 @dataclass(frozen=True)
@@ -47,11 +43,32 @@ class Table:
 
 
 BRONZE = Table("bronze", "scrapes", schemas.BRONZE, by_day=True)
-QUARANTINE = Table("bronze", "scrapes_quarantine", schemas.QUARANTINE)
+QUARANTINE = Table("bronze", "scrapes_quarantine", schemas.QUARANTINE, by_day=True)
 PAGES = Table("silver", "pages", schemas.PAGES, by_day=True)
 CHUNKS = Table("silver", "chunks", schemas.CHUNKS, by_day=True)
 QUALITY_RUNS = Table("_quality", "runs", schemas.QUALITY_RUNS)
 PIPELINE_RUNS = Table("_pipeline", "runs", schemas.PIPELINE_RUNS)
+#: Which rows each quality run found failing; the rows themselves are quarantined once.
+QUARANTINE_RUNS = Table(
+    "_quality",
+    "quarantine_runs",
+    T.StructType([T.StructField("run_id", T.StringType()), T.StructField("bronze_id", T.StringType())]),
+)
+SITE_STATS = Table(
+    "_pipeline",
+    "site_stats",
+    T.StructType(
+        [
+            T.StructField("run_id", T.StringType()),
+            T.StructField("site", T.StringType()),
+            T.StructField("start_url", T.StringType()),
+            T.StructField("pages_fetched", T.LongType()),
+            T.StructField("pages_kept", T.LongType()),
+            T.StructField("pages_dropped", T.LongType()),
+            T.StructField("error", T.StringType()),
+        ]
+    ),
+)
 DRIFT_FINDINGS = Table(
     "_quality",
     "drift_findings",
@@ -92,11 +109,9 @@ def crawl_day(crawled_at: Column) -> Column:
     return F.when(day.rlike(r"^\d{4}-\d{2}-\d{2}$"), day).otherwise("unknown")
 
 
-def days_of(df: DataFrame) -> list[str] | None:
-    """The crawl days of a frame, or None when there are very many."""
-    days = df.select(crawl_day(F.col("crawled_at")).alias(DAY)).distinct().limit(MANY_DAYS + 1)
-    found = [row[0] for row in days.collect()]
-    return found if len(found) <= MANY_DAYS else None
+def days_of(df: DataFrame) -> DataFrame:
+    """The crawl days of a frame, one row each."""
+    return df.select(crawl_day(F.col("crawled_at")).alias(DAY)).distinct()
 
 
 class Lake:
@@ -105,6 +120,11 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark, self.root, self.fmt = spark, str(root).rstrip("/"), fmt
 
+    @property
+    def staging(self) -> str:
+        """Where jobs on this lake stage intermediate tables while they run."""
+        return f"{self.root}/_staging"
+
     def path(self, table: Table) -> str:
         return f"{self.root}/{table.layer}/{table.name}"
 
@@ -131,10 +151,12 @@ class Lake:
         table: Table,
         columns: Sequence[str] | None = None,
         *,
-        days: Sequence[str] | None = None,
+        days: Sequence[str] | DataFrame | None = None,
     ) -> DataFrame:
         """The table, or a typed empty frame. ``days`` limits the partitions read.
 
+        A frame of days is joined, and Spark prunes the partitions when it runs.
+
         Columns a file lacks read as null. ``crawl_day`` can be asked for by name.
         """
         where = self.location(table)
@@ -149,20 +171,23 @@ class Lake:
             except AnalysisException:
                 pass  # an unreadable table counts as absent
         if days is not None and table.by_day:
-            rows = rows.where(F.col(DAY).isin(list(days)))
+            if isinstance(days, DataFrame):
+                rows = rows.join(days.select(DAY), DAY, "left_semi")
+            else:
+                rows = rows.where(F.col(DAY).isin(list(days)))
         return rows.select(*names)
 
-    def append(self, table: Table, df: DataFrame, *, few_days: bool = False) -> str:
+    def append(self, table: Table, df: DataFrame) -> str:
         """Add rows in the table's own schema."""
         target = self.location(table) or self._next(table)
-        self._write(table, df, target, "append", few_days)
+        self._write(table, df, target, "append")
         return target
 
-    def overwrite(self, table: Table, df: DataFrame, *, few_days: bool = False) -> str:
+    def overwrite(self, table: Table, df: DataFrame) -> str:
         """Replace all rows. The plan may read the table it replaces."""
         target = self._next(table)
         mode = "overwrite" if self.fmt != "parquet" else "errorifexists"
-        self._write(table, df, target, mode, few_days)
+        self._write(table, df, target, mode)
         return target
 
     def _next(self, table: Table) -> str:
@@ -172,16 +197,15 @@ class Lake:
         number = int(started[-1].rsplit("-", 1)[1]) + 1 if started else 1
         return f"{self.path(table)}/snapshot-{number:06d}"
 
-    def _write(self, table: Table, df: DataFrame, target: str, mode: str, few_days: bool) -> None:
+    def _write(self, table: Table, df: DataFrame, target: str, mode: str) -> None:
         self.ensure_layers()
         rows = align_frame(df, table.schema)
         if not table.by_day:
             rows.write.format(self.fmt).mode(mode).save(target)
             return
         rows = rows.withColumn(DAY, crawl_day(F.col("crawled_at")))
-        if not few_days:
-            # Groups rows by day for well-sized files; AQE splits a day too big for one task.
-            rows = rows.hint("rebalance", DAY)
+        # Groups rows by day for well-sized files; AQE splits a day too big for one task.
+        rows = rows.hint("rebalance", DAY)
         rows.write.format(self.fmt).mode(mode).partitionBy(DAY).save(target)
 
     def drop_old_snapshots(self, table: Table) -> int:

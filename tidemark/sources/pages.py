@@ -59,6 +59,7 @@ def pages_to_fetched(pages: DataFrame) -> DataFrame:
         "url",
         site_url(F.col("url")).alias("start_url"),
         html.isNotNull().alias("success"),
+        F.when(html.isNull(), F.lit("no content stored")).alias("error"),
         unescape_html(html_lines(html)).alias("raw_markdown"),
         F.map_filter(meta, lambda _, v: v != "").alias("metadata"),
         html,

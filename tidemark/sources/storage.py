@@ -20,10 +20,3 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
 def make_folder(spark: SparkSession, path: str) -> None:
     target, fs = _hadoop(spark, path)
     fs.mkdirs(target)
-
-
-def has_files(spark: SparkSession, path: str) -> bool:
-    """The folder holds at least one parquet file, at any partition depth up to one."""
-    return bool(
-        list_paths(spark, f"{path}/*.parquet") or list_paths(spark, f"{path}/*=*/*.parquet")
-    )

@@ -10,7 +10,8 @@ from tidemark.constants import LANDING_PREFIX
 from tidemark.functions.vectors import Embedder, HashedEmbedder
 from tidemark.plans.bronze import ingest_datasets
 from tidemark.plans.silver import build_silver
-from tidemark.sources.lake import Lake
+from tidemark.sources.lake import Lake, days_of
+from tidemark.sources.landing import read_datasets
 
 #: Files of one micro-batch; bounds both the batch and the paths the driver hands on.
 FILES_PER_BATCH = 1000
@@ -65,7 +66,8 @@ def stream_to_lake(
             return
         ingest_datasets(spark, paths, lake, mode="append", embedder=embedder)
         if promote:
-            build_silver(lake, embedder=embedder)
+            rows = read_datasets(spark, paths, "")  # only their crawl days are looked up
+            build_silver(lake, embedder=embedder, days=days_of(rows))
 
     return (
         new_landing_files(spark, input_dir, files_per_batch=files_per_batch)

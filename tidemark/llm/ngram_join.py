@@ -11,9 +11,10 @@ must stand in one of the short lists. The skipped lists are probed by binary sea
 candidate's sorted shingles, which gives the exact overlap, and pairs that reach the required
 overlap are retained.
 
-Only connected groups are asked for, so short lists are merged in two rounds. First each set
-of a list is paired with the list's first set of a similar size, which connects copies in linear
-work; then only lists that still hold several groups pair the sets of different groups.
+Only connected groups are asked for, so short lists are merged in rounds. First each set of a
+list is paired with one set of a similar size, the one with the most common shingles, then with
+another one: linear work that connects copies. Then only lists that still hold several groups are
+searched for pairs of different groups, with exact bounds on sizes and on differing shingles.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -41,6 +42,8 @@ SHARED_LEAST, SHARED_PART = 12, 20
 #: A shingle in more kept sets of one Arrow batch is long for certain: the batch sends one row
 #: for it instead of one per set.
 LONG_IN_BATCH = 64
+#: Sets of a list that are searched together.
+BLOCK = 4096
 _LONG = 1 << 62
 _CACHE_WORDS = 500_000
 
@@ -131,7 +134,7 @@ def _scan(rows: DataFrame) -> DataFrame:
 
 
 def _short_lists(kept: DataFrame) -> DataFrame:
-    """``set, n, shingle``: the shortest lists of every set that can have a partner."""
+    """``set, n, weight, shingle``: the shortest lists of every set that can have a partner."""
     of_shingle = Window.partitionBy("shingle")
     # Rows of sets in long lists need no count; the marker rows carry the news to all others.
     here = kept.where("NOT long OR set IS NULL").select(
@@ -152,32 +155,110 @@ def _short_lists(kept: DataFrame) -> DataFrame:
     needed = F.expr(f"cast(least({overlap}, {SHARED_LEAST} + {smallest} div {SHARED_PART}) AS int)")
     sets = counted.unionByName(long).groupBy("set", "n").agg(F.sort_array(F.collect_set("entry")).alias("entries"))
     open_lists = F.slice("entries", 1, F.size("entries") - needed + 1)
-    return sets.where(F.size("entries") >= needed).select("set", "n", F.explode(open_lists).alias("e")).select("set", "n", "e.shingle")
+    # How common a set's shingles are: a text that many others are copies of comes first.
+    weight = F.expr("aggregate(entries, 0D, (sum, e) -> sum + log(e.length)) / n")
+    found = sets.where(F.size("entries") >= needed).select("set", "n", weight.alias("weight"), F.explode(open_lists).alias("e"))
+    return found.select("set", "n", "weight", "e.shingle")
 
 
-def _fits(small: str, large: str):
-    """Sizes of linked sets differ by no more than the similarity allows."""
-    return F.col(small) * DEN >= F.col(large) * NUM
+def _star_pairs(lists: DataFrame, order: Column) -> DataFrame:
+    """Each set with one set of its list in its band of sizes, the last by ``order``.
 
-
-def _first_pairs(lists: DataFrame) -> DataFrame:
-    """Each set with the first set of its list in its band of sizes; linear in the lists."""
+    Linear in the lists. With ``label`` among the columns only sets of other groups are paired.
+    """
     band = F.floor(F.log("n") / F.log(F.lit(DEN / NUM))).alias("band")
-    banded = lists.select("set", "n", "shingle", band)
-    first = banded.groupBy("shingle", "band").agg(F.min("set").alias("a"), F.max("set").alias("last")).where("a < last")
-    pairs = banded.join(first.drop("last"), ["shingle", "band"]).where(F.col("a") < F.col("set"))
-    return pairs.select("a", F.col("set").alias("b")).distinct()
+    banded = lists.select("*", band)
+    center = banded.groupBy("shingle", "band").agg(F.max(F.struct(order.alias("o"), "set", "label")).alias("c"))
+    pairs = banded.join(center, ["shingle", "band"]).where("c.set <> set AND c.label <> label")
+    return pairs.select(F.least("set", "c.set").alias("a"), F.greatest("set", "c.set").alias("b")).distinct()
+
 
+def parity_bits(shingles: np.ndarray) -> bytes:
+    """A bit per hash bin, the parity of the shingles in it; as many bins as shingles, rounded up.
 
-def _cross_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of sets of one list that are in different groups so far."""
-    grouped = lists.join(labels.withColumnRenamed("id", "set"), "set", "left").withColumn("label", F.coalesce("label", "set"))
-    several = grouped.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("shingle")
-    open_rows = stage(grouped.join(several, "shingle", "left_semi"), "open")
-    left = open_rows.select("shingle", F.col("set").alias("a"), F.col("n").alias("an"), F.col("label").alias("al"))
-    right = open_rows.select("shingle", F.col("set").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"))
-    pairs = left.join(right, "shingle").where((F.col("a") < F.col("b")) & (F.col("al") != F.col("bl")))
-    return pairs.where(_fits("an", "bn") & _fits("bn", "an")).select("a", "b").distinct()
+    The bits of two sets differ in no more bins than they differ in shingles, as shared ones
+    cancel. Folding the halves onto each other gives the bits for half the bins.
+    """
+    bins = 1 << max(6, (len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles >> np.uint64(20)).astype(np.int64) & (bins - 1), minlength=bins) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def near_in_list(sets: np.ndarray, sizes: np.ndarray, labels: np.ndarray, bits: list[bytes]) -> np.ndarray:
+    """Pairs of one list, of different groups, that the sizes and the parity bits allow."""
+    if len(np.unique(labels)) < 2:
+        return np.zeros((0, 2), np.int64)
+    order = np.lexsort((sets, sizes))
+    sets, sizes, labels = sets[order], sizes[order], labels[order]
+    width = np.array([len(bits[i]) for i in order]) // 8
+    table = {w: np.frombuffer(b"".join(bits[i] for i in order[width == w]), np.uint64).reshape(-1, w) for w in np.unique(width)}
+    start = {w: int(np.searchsorted(width, w)) for w in table}
+    half = {w: t[:, : w // 2] ^ t[:, w // 2 :] for w, t in table.items() if w > 1}
+    last = np.searchsorted(sizes * NUM, sizes * DEN, side="right")
+    found = []
+    for i in range(len(sets) - 1):
+        w = int(width[i])
+        own = table[w][i - start[w]]
+        most = (DEN - NUM) * (sizes[i] + sizes[i + 1 : last[i]]) // (DEN + NUM)
+        edge = start[w] + len(table[w])
+        parts = [np.bitwise_count(table[w][i + 1 - start[w] : min(last[i], edge) - start[w]] ^ own).sum(axis=1)]
+        if last[i] > edge:  # sizes of up to 4/3 can only reach the next width
+            parts.append(np.bitwise_count(half[2 * w][: last[i] - edge] ^ own).sum(axis=1))
+        good = np.flatnonzero((np.concatenate(parts) <= most) & (labels[i + 1 : last[i]] != labels[i])) + i + 1
+        if len(good):
+            found.append(np.c_[np.minimum(sets[i], sets[good]), np.maximum(sets[i], sets[good])])
+    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+
+
+def _cross_pairs(lists: DataFrame, bits: DataFrame) -> DataFrame:
+    """Pairs of sets of one list that are in different groups so far and may be similar.
+
+    A list is dealt to blocks of bounded size; each block meets itself and every other one in a
+    task's memory, and only pairs that pass the bounds leave it.
+    """
+    several = lists.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m"))
+    several = several.where("x < y").select("shingle", F.ceil(F.col("m") / BLOCK).alias("k"))
+    rows = lists.join(several, "shingle").join(bits, "set").withColumn("own", F.expr("pmod(xxhash64(set), k)"))
+    met = rows.select(
+        "shingle", "set", "n", "label", "bits", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("other")
+    )
+    met = met.select("shingle", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "set", "n", "label", "bits")
+    keys = ["shingle", "lo", "hi"]
+    dealt = met.repartition(*keys).sortWithinPartitions(*keys)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+
+        def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            key = np.c_[tuple(table.column(k).to_numpy() for k in keys)]
+            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            sets, sizes, labels = (table.column(c).to_numpy() for c in ("set", "n", "label"))
+            bits = table.column("bits").to_pylist()
+            got = [
+                near_in_list(sets[i:j], sizes[i:j].astype(np.int64), labels[i:j], bits[i:j])
+                for i, j in zip([0, *cuts], [*cuts, len(sets)], strict=True)
+                if j - i > 1
+            ]
+            if got and len(out := np.unique(np.concatenate(got), axis=0)):
+                yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # The rows of the last list of a batch wait for the next batch.
+            key = np.c_[tuple(batch.column(i).to_numpy() for i in range(3))]
+            cut = int(np.flatnonzero((key != key[-1]).any(axis=1))[-1]) + 1 if (key != key[-1]).any() else 0
+            if cut:
+                yield from pairs(pa.Table.from_batches([*kept, batch.slice(0, cut)]))
+                kept = []
+            elif kept and any(kept[-1].column(i)[-1] != batch.column(i)[0] for i in range(3)):
+                yield from pairs(pa.Table.from_batches(kept))
+                kept = []
+            kept.append(batch.slice(cut))
+        if kept:
+            yield from pairs(pa.Table.from_batches(kept))
+
+    return dealt.mapInArrow(search, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -202,7 +283,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _whole_sets(rows: DataFrame, docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``set, shingles`` of the wanted sets, each from one document that has it."""
+    """``set, shingles, bits`` of the wanted sets, each from one document that has it."""
     owners = docs.join(wanted, "set", "left_semi").groupBy("set").agg(F.min(F.struct("id", "row")).alias("o"))
     owners = owners.select("set", "o.id", "o.row")
     texts = maybe_touched(rows, owners.select("id")).dropDuplicates(["id", "row"])
@@ -210,10 +291,11 @@ def _whole_sets(rows: DataFrame, docs: DataFrame, wanted: DataFrame) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Words()
         for batch in batches:
-            sets = [shingle_set(t, hashes).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["set", "shingles"])
+            sets = [shingle_set(t, hashes) for t in batch.column(1).to_pylist()]
+            columns = [pa.array([f(s) for s in sets], pa.binary()) for f in (np.ndarray.tobytes, parity_bits)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["set", "shingles", "bits"])
 
-    return owners.join(texts, ["id", "row"]).select("set", "text").mapInArrow(run, "set long, shingles binary")
+    return owners.join(texts, ["id", "row"]).select("set", "text").mapInArrow(run, "set long, shingles binary, bits binary")
 
 
 def similar_groups(docs: DataFrame, *, text: str = "text") -> DataFrame:
@@ -233,10 +315,13 @@ def similar_groups(docs: DataFrame, *, text: str = "text") -> DataFrame:
     kept = scanned.where("shingle IS NOT NULL").select("set", "n", "shingle", "long")
     lists = stage(_short_lists(kept), "lists")
     sets = stage(_whole_sets(rows, found, lists.select("set").distinct()), "sets")
-    links = stage(_verified(_first_pairs(lists), sets), "links")
+    links = stage(_verified(_star_pairs(lists.withColumn("label", F.col("set")), F.col("weight")), sets), "links")
+    for order in (F.xxhash64("set"), None):
+        labels = stage(connected_labels(links, left="a", right="b"), "labels")
+        grouped = lists.join(labels.withColumnRenamed("id", "set"), "set", "left").withColumn("label", F.coalesce("label", "set"))
+        pairs = _star_pairs(grouped, order) if order is not None else _cross_pairs(grouped, sets.select("set", "bits"))
+        links = stage(links.unionByName(_verified(pairs, sets)), "links")
     labels = stage(connected_labels(links, left="a", right="b"), "labels")
-    more = stage(_verified(_cross_pairs(lists, labels), sets), "more")
-    labels = stage(connected_labels(links.unionByName(more), left="a", right="b"), "labels")
     # Groups of sets become groups of documents; copies share a set.
     grouped = found.where("set IS NOT NULL").join(labels.withColumnRenamed("id", "set"), "set", "left")
     grouped = grouped.withColumn("label", F.coalesce("label", "set"))

@@ -200,7 +200,8 @@ _STATS = (
     ", always AS (SELECT source_domain FROM hist WHERE ingested_at IN (SELECT ingested_at FROM recent) GROUP BY source_domain HAVING count(DISTINCT ingested_at) = 3)"
     ", missing AS (SELECT source_domain FROM always WHERE source_domain NOT IN (SELECT source_domain FROM cur))"
 )
-_V5 = ("v5h", "v5c")
+_V5, _PAST = ("v5h", "v5c"), ("v5p", "v5c")
+_PAST_STATS = _STATS.replace("v5h", "v5p")
 
 
 def _rounded(df):
@@ -242,9 +243,9 @@ def _(spark, sf):
     return drift.always_present_domains(drift.domain_run_stats(view(spark, sf, "v5h")))
 
 
-@check("missing_domains", _STATS + " SELECT source_domain FROM missing", _V5)
+@check("missing_domains", _PAST_STATS + " SELECT source_domain FROM missing", _PAST)
 def _(spark, sf):
-    always = drift.always_present_domains(drift.domain_run_stats(view(spark, sf, "v5h")))
+    always = drift.always_present_domains(drift.domain_run_stats(view(spark, sf, "v5p")))
     return drift.missing_domains(always, view(spark, sf, "v5c"))
 
 
@@ -255,7 +256,7 @@ def _drop(metric: str) -> str:
 
 
 _DRIFT = (
-    _STATS
+    _PAST_STATS
     + """, found(domain, metric, current, baseline, ratio, note) AS (
 SELECT source_domain, 'baseline', rows::DOUBLE, NULL, NULL, 'no prior runs for this domain' FROM cur WHERE source_domain NOT IN (SELECT source_domain FROM base)
 UNION ALL """
@@ -265,9 +266,9 @@ SELECT domain, metric, round(current, 6) AS current, round(baseline, 6) AS basel
 )
 
 
-@check("run_drift", _DRIFT, _V5)
+@check("run_drift", _DRIFT, _PAST)
 def _(spark, sf):
-    found = drift.run_drift(view(spark, sf, "v5c"), view(spark, sf, "v5h"))
+    found = drift.run_drift(view(spark, sf, "v5c"), view(spark, sf, "v5p"))
     return found.select(
         "domain", "metric",
         *[F.round(c, 6).alias(c) for c in ("current", "baseline", "ratio")],

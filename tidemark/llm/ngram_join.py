@@ -12,9 +12,9 @@ candidate's sorted shingles, which gives the exact overlap, and pairs that reach
 overlap are retained.
 
 Only connected groups are asked for, so short lists are merged in rounds. First each set of a
-list is paired with one set of a similar size, the one with the most common shingles, then with
-another one: linear work that connects copies. Then only lists that still hold several groups are
-searched for pairs of different groups, with exact bounds on sizes and on differing shingles.
+list is paired with the one of a similar size that has the most common shingles: linear work that
+connects copies. Then only lists that still hold several groups are searched for pairs of
+different groups, with exact bounds on sizes and on differing shingles.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -44,6 +44,8 @@ SHARED_LEAST, SHARED_PART = 12, 20
 LONG_IN_BATCH = 64
 #: Sets of a list that are searched together.
 BLOCK = 4096
+#: Pairs that a task holds to make them distinct.
+HELD_PAIRS = 1_000_000
 _LONG = 1 << 62
 _CACHE_WORDS = 500_000
 
@@ -153,33 +155,36 @@ def _short_lists(kept: DataFrame) -> DataFrame:
     smallest = f"(({NUM} * n + {DEN - 1}) div {DEN})"
     overlap = f"(({NUM} * {smallest} + {DEN - 1}) div {DEN})"
     needed = F.expr(f"cast(least({overlap}, {SHARED_LEAST} + {smallest} div {SHARED_PART}) AS int)")
-    sets = counted.unionByName(long).groupBy("set", "n").agg(F.sort_array(F.collect_set("entry")).alias("entries"))
+    # The weight is how common a set's shingles are: a text that many others are copies of has most.
+    # It is summed with the lists, as an expression beside the explode would run for each list.
+    sets = counted.unionByName(long).groupBy("set", "n").agg(
+        F.sort_array(F.collect_set("entry")).alias("entries"), (F.sum(F.log("entry.length")) / F.col("n")).alias("weight")
+    )
     open_lists = F.slice("entries", 1, F.size("entries") - needed + 1)
-    # How common a set's shingles are: a text that many others are copies of comes first.
-    weight = F.expr("aggregate(entries, 0D, (sum, e) -> sum + log(e.length)) / n")
-    found = sets.where(F.size("entries") >= needed).select("set", "n", weight.alias("weight"), F.explode(open_lists).alias("e"))
+    found = sets.where(F.size("entries") >= needed).select("set", "n", "weight", F.explode(open_lists).alias("e"))
     return found.select("set", "n", "weight", "e.shingle")
 
 
-def _star_pairs(lists: DataFrame, order: Column) -> DataFrame:
-    """Each set with one set of its list in its band of sizes, the last by ``order``.
+def _star_pairs(lists: DataFrame) -> DataFrame:
+    """Each set with the heaviest set of its list in its band of sizes; linear in the lists.
 
-    Linear in the lists. With ``label`` among the columns only sets of other groups are paired.
+    There are two series of bands, half a band apart, so no size is on the edge of both.
     """
-    band = F.floor(F.log("n") / F.log(F.lit(DEN / NUM))).alias("band")
-    banded = lists.select("*", band)
-    center = banded.groupBy("shingle", "band").agg(F.max(F.struct(order.alias("o"), "set", "label")).alias("c"))
-    pairs = banded.join(center, ["shingle", "band"]).where("c.set <> set AND c.label <> label")
+    place = F.log("n") / F.log(F.lit(DEN / NUM))
+    bands = F.explode(F.array(F.floor(place) * 2, F.floor(place + 0.5) * 2 + 1)).alias("band")
+    banded = lists.select("shingle", "set", "weight", bands)
+    center = banded.groupBy("shingle", "band").agg(F.max(F.struct("weight", "set")).alias("c"))
+    pairs = banded.join(center, ["shingle", "band"]).where("c.set <> set")
     return pairs.select(F.least("set", "c.set").alias("a"), F.greatest("set", "c.set").alias("b")).distinct()
 
 
 def parity_bits(shingles: np.ndarray) -> bytes:
-    """A bit per hash bin, the parity of the shingles in it; as many bins as shingles, rounded up.
+    """A bit per hash bin, the parity of the shingles in it; two bins a shingle, rounded up.
 
     The bits of two sets differ in no more bins than they differ in shingles, as shared ones
     cancel. Folding the halves onto each other gives the bits for half the bins.
     """
-    bins = 1 << max(6, (len(shingles) - 1).bit_length())
+    bins = 2 << max(6, (len(shingles) - 1).bit_length())
     odd = np.bincount((shingles >> np.uint64(20)).astype(np.int64) & (bins - 1), minlength=bins) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -210,6 +215,31 @@ def near_in_list(sets: np.ndarray, sizes: np.ndarray, labels: np.ndarray, bits:
     return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
 
+def _whole_lists(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Sorted batches as tables that never end inside a list."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.c_[tuple(batch.column(k).to_numpy() for k in keys)]
+        others = np.flatnonzero((key != key[-1]).any(axis=1))
+        cut = int(others[-1]) + 1 if len(others) else 0
+        if cut:
+            yield pa.Table.from_batches([*kept, batch.slice(0, cut)])
+            kept = []
+        elif kept and any(kept[-1].column(k)[-1] != batch.column(k)[0] for k in keys):
+            yield pa.Table.from_batches(kept)
+            kept = []
+        kept.append(batch.slice(cut))
+    if kept:
+        yield pa.Table.from_batches(kept)
+
+
+def _pair_batch(found: list[np.ndarray]) -> pa.RecordBatch:
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
 def _cross_pairs(lists: DataFrame, bits: DataFrame) -> DataFrame:
     """Pairs of sets of one list that are in different groups so far and may be similar.
 
@@ -227,36 +257,21 @@ def _cross_pairs(lists: DataFrame, bits: DataFrame) -> DataFrame:
     dealt = met.repartition(*keys).sortWithinPartitions(*keys)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[pa.RecordBatch] = []
-
-        def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
+        for table in _whole_lists(batches, keys):
             key = np.c_[tuple(table.column(k).to_numpy() for k in keys)]
             cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
             sets, sizes, labels = (table.column(c).to_numpy() for c in ("set", "n", "label"))
             bits = table.column("bits").to_pylist()
-            got = [
-                near_in_list(sets[i:j], sizes[i:j].astype(np.int64), labels[i:j], bits[i:j])
-                for i, j in zip([0, *cuts], [*cuts, len(sets)], strict=True)
-                if j - i > 1
-            ]
-            if got and len(out := np.unique(np.concatenate(got), axis=0)):
-                yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["a", "b"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            # The rows of the last list of a batch wait for the next batch.
-            key = np.c_[tuple(batch.column(i).to_numpy() for i in range(3))]
-            cut = int(np.flatnonzero((key != key[-1]).any(axis=1))[-1]) + 1 if (key != key[-1]).any() else 0
-            if cut:
-                yield from pairs(pa.Table.from_batches([*kept, batch.slice(0, cut)]))
-                kept = []
-            elif kept and any(kept[-1].column(i)[-1] != batch.column(i)[0] for i in range(3)):
-                yield from pairs(pa.Table.from_batches(kept))
-                kept = []
-            kept.append(batch.slice(cut))
-        if kept:
-            yield from pairs(pa.Table.from_batches(kept))
+            for i, j in zip([0, *cuts], [*cuts, len(sets)], strict=True):
+                if j - i > 1:
+                    found.append(near_in_list(sets[i:j], sizes[i:j].astype(np.int64), labels[i:j], bits[i:j]))
+                    held += len(found[-1])
+            if held > HELD_PAIRS:  # lists share pairs, so they are made distinct before they leave
+                yield _pair_batch(found)
+                found, held = [], 0
+        if held:
+            yield _pair_batch(found)
 
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
@@ -315,12 +330,11 @@ def similar_groups(docs: DataFrame, *, text: str = "text") -> DataFrame:
     kept = scanned.where("shingle IS NOT NULL").select("set", "n", "shingle", "long")
     lists = stage(_short_lists(kept), "lists")
     sets = stage(_whole_sets(rows, found, lists.select("set").distinct()), "sets")
-    links = stage(_verified(_star_pairs(lists.withColumn("label", F.col("set")), F.col("weight")), sets), "links")
-    for order in (F.xxhash64("set"), None):
-        labels = stage(connected_labels(links, left="a", right="b"), "labels")
-        grouped = lists.join(labels.withColumnRenamed("id", "set"), "set", "left").withColumn("label", F.coalesce("label", "set"))
-        pairs = _star_pairs(grouped, order) if order is not None else _cross_pairs(grouped, sets.select("set", "bits"))
-        links = stage(links.unionByName(_verified(pairs, sets)), "links")
+    links = stage(_verified(_star_pairs(lists), sets), "links")
+    labels = stage(connected_labels(links, left="a", right="b"), "labels")
+    grouped = lists.join(labels.withColumnRenamed("id", "set"), "set", "left").withColumn("label", F.coalesce("label", "set"))
+    more = _verified(_cross_pairs(grouped, sets.select("set", "bits")), sets)
+    links = stage(links.unionByName(more), "links")
     labels = stage(connected_labels(links, left="a", right="b"), "labels")
     # Groups of sets become groups of documents; copies share a set.
     grouped = found.where("set IS NOT NULL").join(labels.withColumnRenamed("id", "set"), "set", "left")

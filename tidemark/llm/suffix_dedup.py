@@ -30,7 +30,7 @@ from tidemark.llm.common import new_folder, stage
 WINDOW = 100
 GRAM = 48
 #: Batches that a whole table is dealt to. Each is scanned against all levels before it.
-BATCHES = 4
+BATCHES = 2
 #: A gram with more different suffixes in one Arrow batch goes to single windows at once.
 LONG_IN_BATCH = 64
 

@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.llm import repeats, windows
 from tidemark.llm.common import stage

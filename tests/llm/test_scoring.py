@@ -175,6 +175,32 @@ def test_decontamination(table, spark, awkward):
         assert decontamination.contamination(empty, items(spark, [])).where("kept").count() == empty.count()
 
 
+def window_brute(text, item):
+    """:func:`contaminated_brute` for texts of any length: one with fewer words than the item is one window."""
+    a, b = text.lower().split(), item.lower().split()
+    if len(a) >= len(b):
+        return contaminated_brute(text, item)
+    own, other = ({tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (a, b))
+    return len(own & other) / len(own | other)
+
+
+def test_items_cut_at_the_ends_of_a_text(table, spark):
+    """Items without their first or last words, alone too, and one with swapped halves."""
+    rows, bench = [], []
+    for i, (n, lost) in enumerate([(14, 1), (30, 2), (60, 3)]):
+        words = prose(2000 + i, n, 5000).split()
+        bench.append(" ".join(words))
+        head, tail, half, rest = (*map(" ".join, (words[:-lost], words[lost:], words[n // 2 :])), prose(2100 + i, 100, 5000))
+        rows += [(10 * i + k, t) for k, t in enumerate([f"{tail} {rest}", f"{rest} {head}", tail, head, half, rest])]
+    swapped = bench[2].split()
+    rows.append((50, f"{prose(2200, 80, 5000)} {' '.join(swapped[30:] + swapped[:30])} {prose(2201, 80, 5000)}"))
+    got = {r["doc_id"]: r for r in decontamination.contamination(table(rows), items(spark, bench)).collect()}
+    for i, text in rows:
+        best = max(window_brute(text, b) for b in bench)
+        assert got[i]["kept"] == (best < 0.75) == (i % 10 in (4, 5))
+        assert got[i]["kept"] or got[i]["similarity"] == pytest.approx(best)
+
+
 def test_blocks_guarantee_the_radius(spark):
     """Fingerprints within the radius agree in a block."""
     rng = random.Random(1)

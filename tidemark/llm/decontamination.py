@@ -1,12 +1,13 @@
 """Find benchmark items in documents: SimHash of item-sized windows, multi-index Hamming blocks.
 
-Everything here is DataFrame and SQL functions. A window has as many words as an item. Windows
-are laid wherever a shingle of the document stands in an item, aligned with it; a window without
-any shared shingle has similarity 0. Each window gets the SimHash of its shingles. Cutting the
-64 bits into one block more than the radius makes two fingerprints within the radius agree in at
-least one block, so joining windows and items of one size by (block, bits) misses none. The
-candidates within the radius are then verified by the weighted Jaccard similarity of their
-shingles, each weighed by how often it occurs.
+Everything here is DataFrame and SQL functions. A window has as many words as an item, and may
+start at any word; a document with fewer words than the item is one window. A similarity bounds
+from below how many shingles a window shares with an item, so windows are laid where that many
+of their shingles stand in items of their size, and no others can match. Each window gets the
+SimHash of its shingles. Cutting the 64 bits into one block more than the radius makes two
+fingerprints within the radius agree in at least one block, so joining windows and items of one
+size by (block, bits) misses none. The candidates within the radius are then verified by the
+weighted Jaccard similarity of their shingles, each weighed by how often it occurs.
 """
 
 from __future__ import annotations
@@ -87,20 +88,38 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
     return items.select("*", simhash("hashes").alias("print"))
 
 
+def _least_shared(own: str, size: str) -> str:
+    """Shingles that ``own`` shingles must share with an item of ``size`` to reach the similarity."""
+    share = SIMILARITY / (1 + SIMILARITY)
+    return f"cast(ceil({share!r} * ({own} + {size}) - 1e-6) AS int)"
+
+
+def _dense(hits: str, least: str, size: str) -> str:
+    """For each of ``hits`` (sorted) that begins ``least`` of them within ``size``: that and the last one."""
+    pairs = f"transform(sequence(1, size({hits}) - {least} + 1), i -> struct({hits}[i - 1] AS first, {hits}[i + {least} - 2] AS last))"
+    some = f"if(size({hits}) >= {least}, {pairs}, cast(array() AS array<struct<first: int, last: int>>))"
+    return f"filter({some}, x -> x.last - x.first < {size})"
+
+
 def _windows(rows: DataFrame, items: DataFrame, size: int) -> DataFrame:
     """``id, row, start, n, hashes`` of the windows of items with shingles of ``size`` words."""
     own = items.where(F.col("k") == size)
-    index = stage(own.select("n", F.posexplode("hashes").alias("q", "hash")).distinct(), "index")
+    index = stage(own.select("n", F.explode("hashes").alias("hash")).distinct(), "index")
     hits = rows.select(*_KEY, F.posexplode(shingles(words_of(F.col("text")), size)).alias("at", "hash")).join(index, "hash")
-    laid = hits.select(*_KEY, (F.col("at") - F.col("q")).alias("start"), "n").where("start >= 0").distinct()
-    laid = stage(laid, "laid").groupBy(*_KEY).agg(F.collect_list(F.struct("start", "n")).alias("laid"))
-    found = rows.dropDuplicates(_KEY).join(laid, _KEY).select(*_KEY, "laid", shingles(words_of(F.col("text")), size).alias("h"))
-    cut = F.expr(f"transform(laid, w -> struct(w.start, w.n, slice(h, w.start + 1, w.n - {size - 1}) AS hashes))")
-    return (
-        found.select(*_KEY, F.explode(cut).alias("w"))
-        .select(*_KEY, "w.*")
-        .where(F.size("hashes") == F.col("n") - (size - 1))
-    )
+    hits = hits.groupBy(*_KEY, "n").agg(F.array_sort(F.collect_set("at")).alias("hits"))
+    hits = hits.select("*", (F.col("n") - (size - 1)).alias("m"))
+    # A text with fewer shingles than an item shares at most all of its own, so it needs this many.
+    fewest = f"cast(ceil({SIMILARITY!r} * m - 1e-6) AS int)"
+    hits = hits.where(f"size({_dense('hits', fewest, 'm')}) > 0")
+    by_text = stage(hits, "hits").groupBy(*_KEY).agg(F.collect_list(F.struct("n", "m", "hits")).alias("sizes"))
+    found = rows.dropDuplicates(_KEY).join(by_text, _KEY).select(*_KEY, "sizes", shingles(words_of(F.col("text")), size).alias("h"))
+    found = found.select(*_KEY, "h", F.size("h").alias("total"), F.explode("sizes").alias("s")).select(*_KEY, "h", "total", "s.*")
+    runs = _dense("hits", _least_shared("m", "m"), "m")
+    inside = f"flatten(transform({runs}, x -> sequence(greatest(0, x.last - m + 1), least(total - m, x.first))))"
+    whole = f"if(size(hits) >= {_least_shared('total', 'm')}, array(0), cast(array() AS array<int>))"
+    starts = f"if(total >= m, array_distinct({inside}), {whole})"
+    cut = F.expr(f"transform({starts}, s -> struct(s AS start, n, slice(h, s + 1, m) AS hashes))")
+    return found.select(*_KEY, F.explode(cut).alias("w")).select(*_KEY, "w.*")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -137,9 +156,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     """``doc_id, kept, n_windows, similarity, item_ids`` for every row of ``docs``.
 
     ``kept`` is false where a window of the whole text matches an item; ``item_ids`` lists those
-    items, ``similarity`` is the highest. Words are compared in lower case. Documents with fewer
-    words than an item can't hold it; null and empty texts, and items without words, match
-    nothing. Repeated rows get equal results; rows with one id and other texts are judged apart.
+    items, ``similarity`` is the highest, ``n_windows`` counts the starts of all windows that match.
+    Words are compared in lower case. A document with fewer words than an item is one window of all
+    its words; null and empty texts, and items without words, match nothing. Repeated rows get equal results; rows with one id and other texts are judged apart.
     Empty tables are fine on both sides. Other columns are not read.
     """
     flagged = stage(_flagged(docs, benchmark, text, radius), "flagged")

@@ -59,6 +59,13 @@ def test_keep_one(table, awkward):
     assert found(kept, "doc_id", "text") == want
 
 
+def test_keep_one_of_each_repeated_text_of_an_id(table):
+    """One id, and the null id, with several texts that each stand twice or once."""
+    texts = ["first text", "second text", "third text"]
+    rows = [(i, f"{t} {i}") for i in (7, None) for t in texts for _ in range(2)] + [(7, "single"), (None, "alone")]
+    assert found(exact_dedup.keep_one(table(rows)), "doc_id", "text") == sorted(set(rows), key=repr)
+
+
 def shingle_sets(rows):
     out = []
     for _, text in rows:

@@ -171,12 +171,11 @@ def keep_one(docs: DataFrame, *, text: str = "text") -> DataFrame:
     groups = stage(exact_groups(docs, text=text).where("kept"), "kept")
     kept = groups.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count(F.lit(1)).alias("_n"))
     own = F.sha2(fold_ascii(text_or_empty(text)), 256)
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_sha"))).drop("_id", "_sha")
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_sha"))).drop("_id")
     if kept.where("_n > 1").isEmpty():  # no row is repeated, so the texts are read once
-        return rows.drop("_n")
-    names = [c for c in rows.columns if c != "_n"]
-    once = rows.where("_n = 1").drop("_n")
-    return once.unionByName(rows.where("_n > 1").drop("_n").dropDuplicates(["doc_id"]).select(names))
+        return rows.drop("_sha", "_n")
+    once = rows.where("_n = 1").drop("_sha", "_n")
+    return once.unionByName(rows.where("_n > 1").dropDuplicates(["doc_id", "_sha"]).drop("_sha", "_n"))
 
 
 #: The same rows of :func:`exact_groups` in DuckDB.

@@ -78,6 +78,20 @@ def test_copies_of_the_mix(table, awkward):
     assert sums == {i: n for i, n in taken.items() if n}
 
 
+def test_copies_of_rows_with_one_id_or_none(table):
+    """Each row takes its own share: other texts and sources of an id, null ids, repeated rows."""
+    rows = [(i, prose(n, 5 + 7 * n)) for n, i in enumerate([None, None, None, None, 4, 4, 4, 8, 8, 8, 9, 10])]
+    docs = table([*rows, rows[0], rows[4]], sources=("b", "a"))
+    want, got = {}, {}
+    for r in mixing.mix(docs).collect():
+        of = (r["doc_id"], r["source"], r["size"])
+        want[of] = want.get(of, 0) + r["taken"]
+    for r in mixing.mixed_documents(docs).collect():
+        of = (r["doc_id"], r["source"], len(r["text"].split()))
+        got[of] = got.get(of, 0) + r["words"]
+    assert got == {of: n for of, n in want.items() if n}
+
+
 def toxic_corpus(table, spark, n=360):
     rng = random.Random(3)
     texts, labels = [], []

@@ -8,11 +8,11 @@ each range finishes the prefix sums. A source with a third of all rows is many r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import stage, word_count
+from tidemark.llm.common import stage, text_or_empty, word_count
 
 #: Documents in a key range, on average.
 RANGE_DOCUMENTS = 1024
@@ -70,24 +70,36 @@ def mix(docs: DataFrame, *, text: str = "text") -> DataFrame:
     An empty table gives an empty result; a source without words has target 0. Columns other
     than ``doc_id``, ``source`` and the text are not read.
     """
-    sizes = stage(
-        docs.select("doc_id", "source", word_count(F.col(text)).alias("size"), F.expr(_KEY).alias("key")), "sizes"
+    sizes = stage(_sized(docs, text), "sizes")
+    return _taken(sizes, sizes).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def _sized(docs: DataFrame, text: str, *carried: Column) -> DataFrame:
+    return docs.select(
+        "doc_id",
+        "source",
+        word_count(F.col(text)).alias("size"),
+        F.expr(_KEY).alias("key"),
+        F.xxhash64(text_or_empty(text)).alias("hash"),
+        *carried,
     )
+
+
+def _taken(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``rows`` with ``source_size``, ``target`` and ``taken``; ``sizes`` are the same rows, staged."""
     targets = stage(source_targets(sizes), "targets")
     # No hint here: Spark broadcasts the source table where it measures it as small, and AQE splits
     # a hot source where not.
     ranges = F.ceil(F.col("source_docs") / RANGE_DOCUMENTS)
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
-    ranged = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).select(
-        "doc_id",
-        sizes["source"],
-        "size",
-        "key",
-        "source_size",
-        "target",
-        F.shiftright(place * ranges, 32).alias("range"),
-    )
-    sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
+
+    def in_ranges(part: DataFrame) -> DataFrame:
+        named = targets.withColumnRenamed("source", "t_source")
+        joined = part.join(named, part["source"].eqNullSafe(named["t_source"]))
+        return joined.withColumn("range", F.shiftright(place * ranges, 32)).drop("t_source", "source_docs")
+
+    ranged = in_ranges(rows)
+    sums = in_ranges(sizes).groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     to_here = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         F.col("source").alias("o_source"),
@@ -95,7 +107,7 @@ def mix(docs: DataFrame, *, text: str = "text") -> DataFrame:
         F.coalesce(F.sum("range_size").over(to_here), F.lit(0)).alias("offset"),
     )
     inside = (
-        Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("source", "range").orderBy("key", "doc_id", "size", "hash").rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = ranged.join(
         offsets, ranged["source"].eqNullSafe(offsets["o_source"]) & (ranged["range"] == offsets["o_range"])
@@ -104,9 +116,7 @@ def mix(docs: DataFrame, *, text: str = "text") -> DataFrame:
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = budget - epochs * F.col("source_size")
     part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest - F.col("start")))
-    return placed.select(
-        "doc_id", "source", "size", "source_size", "target", (epochs * F.col("size") + part).alias("taken")
-    )
+    return placed.withColumn("taken", epochs * F.col("size") + part)
 
 
 def mixed_documents(docs: DataFrame, *, text: str = "text") -> DataFrame:
@@ -114,17 +124,16 @@ def mixed_documents(docs: DataFrame, *, text: str = "text") -> DataFrame:
 
     The rows keep the columns of ``docs``. ``words`` is the document's size, but for the copy at
     the budget's cut, of which the mix takes the first ``words`` words; its text stays whole.
-    Documents that the mix does not take have no row.
+    Documents that the mix does not take have no row. Each row carries its own share, so rows
+    with one id, or without one, are told apart.
     """
-    taken = mix(docs, text=text).where("taken > 0").select("doc_id", "size", "taken").dropDuplicates(["doc_id"])
-    size = F.greatest(F.col("size"), F.lit(1))
-    copies = taken.select(
-        F.col("doc_id").alias("_id"),
-        "size",
-        "taken",
-        F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / size))).alias("copy"),
-    ).select("_id", "copy", F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size")).alias("words"))
-    return docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    sizes = stage(_sized(docs, text), "sizes")
+    whole = F.struct(*(docs[c] for c in docs.columns)).alias("whole")
+    taken = _taken(_sized(docs, text, whole), sizes).where("taken > 0")
+    n = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))
+    copies = taken.select("whole", "size", "taken", F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("copy"))
+    words = F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size"))
+    return copies.select("whole.*", "copy", words.alias("words"))
 
 
 #: The same rows of :func:`mix` in DuckDB.

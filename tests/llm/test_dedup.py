@@ -198,6 +198,22 @@ def test_byte_windows(table, awkward, batches):
     assert got == bytes_brute(rows)
 
 
+def test_levels_merge_by_default(table, awkward, monkeypatch):
+    """The registered query's batches are enough for levels to merge, and the rest to be scanned."""
+    levels, merge = [], suffix_dedup.SuffixFamily.merge_equal
+
+    def watched(self):
+        before = len(self.levels)
+        merge(self)
+        levels.append((before, len(self.levels)))
+
+    monkeypatch.setattr(suffix_dedup.SuffixFamily, "merge_equal", watched)
+    rows = [r for r in awkward if r[0] not in (20, 21)]
+    got = suffix_dedup.remove_repeats(table(rows))
+    assert sorted(((*r[:4], bytes(r[4])) for r in got.select(*BYTES).collect()), key=repr) == bytes_brute(rows)
+    assert (2, 1) in levels and (2, 2) in levels
+
+
 def test_byte_windows_empty(table):
     assert suffix_dedup.remove_repeats(table([])).count() == 0
 

@@ -29,8 +29,9 @@ from tidemark.llm.common import new_folder, stage
 #: Bytes in a window, and in the string that anchors it.
 WINDOW = 100
 GRAM = 48
-#: Batches that a whole table is dealt to. Each is scanned against all levels before it.
-BATCHES = 2
+#: Batches that a whole table is dealt to. Each is scanned against all levels before it; levels
+#: merge from the third batch on.
+BATCHES = 4
 #: A gram with more different suffixes in one Arrow batch goes to single windows at once.
 LONG_IN_BATCH = 64
 

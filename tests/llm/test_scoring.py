@@ -142,6 +142,21 @@ def test_quality_on_held_out_rows(table, spark):
     assert sum(r["kept"] == (r["doc_id"] % 3 != 0) for r in rows) >= 0.95 * len(rows) > 70
 
 
+def test_samples_hold_one_row_per_id(table, spark, monkeypatch):
+    """Very many rows of an id count once, the same row in every run."""
+    docs = table([(i, prose(n, 30)) for n, i in enumerate([0, 2, 3, 50] * 20)])
+    known = spark.createDataFrame([(0, 1, 0), (2, 0, 1), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    known, seen = known.where(~toxicity.is_held_out()), []
+    n = known.count()
+    fit, co_train = toxicity.fit, quality.co_train
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y: (seen.append(texts), fit(texts, y))[1])
+    monkeypatch.setattr(quality, "co_train", lambda x, y, pool: (seen.append((len(y), len(pool[0]))), co_train(x, y, pool))[1])
+    for some in (docs, docs.repartition(5)):
+        toxicity.learn(some, known)
+        quality.learn(some, known)
+    assert seen[0] == seen[2] and len(seen[0]) == n > 0 and seen[1] == seen[3] == (n, 4 - n)
+
+
 def items(spark, texts):
     return spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
 

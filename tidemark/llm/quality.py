@@ -166,7 +166,8 @@ def _inputs(docs: DataFrame, text: str) -> DataFrame:
 def learn(docs: DataFrame, labels: DataFrame, *, text: str = "text") -> Model:
     """A model from ``labels.quality`` of rows that are not held out, and a pool without labels.
 
-    Features of the bounded samples are computed in Spark; the driver reads them and fits.
+    Features of the bounded samples are computed in Spark; the driver reads them and fits. Of the rows of one id a
+    sample holds that with the smallest text hash.
     """
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~is_held_out())
     known = known.groupBy("doc_id").agg(F.max("quality").alias("y"))
@@ -177,6 +178,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, text: str = "text") -> Model:
     pool = pool.orderBy(order, "doc_id").limit(POOL_DOCUMENTS).withColumn("y", F.lit(None).cast("int"))
     sample = parts[0].unionByName(parts[1]).select("doc_id", F.col("y").cast("int")).unionByName(pool)
     rows = F.broadcast(sample).join(_inputs(docs, text), "doc_id")
+    one = F.min(F.struct(F.xxhash64("_text").alias("hash"), "source", "lang", "_text")).alias("one")
+    rows = rows.groupBy("doc_id", "y").agg(one).select("doc_id", "y", "one.source", "one.lang", "one._text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -171,7 +171,8 @@ def fit(texts: list[str], labels: list[int]) -> Model:
 def learn(docs: DataFrame, labels: DataFrame, *, text: str = "text") -> Model:
     """A model from the rows of ``labels`` that are not held out.
 
-    The sample is bounded by ``SAMPLE_DOCUMENTS`` and ``SAMPLE_BYTES``; the driver reads it.
+    The sample is bounded by ``SAMPLE_DOCUMENTS`` and ``SAMPLE_BYTES``; the driver reads it. Of
+    the rows of one id it holds that with the smallest text hash.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~is_held_out()).select("doc_id", "toxic")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -179,7 +180,9 @@ def learn(docs: DataFrame, labels: DataFrame, *, text: str = "text") -> Model:
     chosen = [known.where(F.col("toxic") == k).orderBy(order, "doc_id").limit(n) for k, n in SAMPLE_DOCUMENTS.items()]
     sample = chosen[0].unionByName(chosen[1])
     body = F.substring(text_or_empty(text), 1, SAMPLE_BYTES).alias("body")
-    rows = docs.select("doc_id", body).join(F.broadcast(sample), "doc_id").collect()
+    known_rows = docs.select("doc_id", F.xxhash64(text_or_empty(text)).alias("hash"), body).join(F.broadcast(sample), "doc_id")
+    one = known_rows.groupBy("doc_id", "toxic").agg(F.min(F.struct("hash", "body")).alias("one"))
+    rows = one.select("doc_id", "toxic", "one.body").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["body"]))
     return fit([r["body"] for r in rows], [r["toxic"] for r in rows])
 

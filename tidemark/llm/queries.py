@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontamination, exact_dedup, mixing, ngram_join, quality, substring_dedup, suffix_dedup, token_counts, token_ids, toxicity, url_filter
+from tidemark.llm import decontamination, exact_dedup, lexical_search, mixing, ngram_join, quality, substring_dedup, suffix_dedup, token_counts, token_ids, toxicity, url_filter
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,4 +88,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.token_ids(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+@_register("op13_lexical_search", lexical_search.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each benchmark item's ten best documents of all documents."""
+    return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontamination, exact_dedup, lexical_search, mixing, ngram_join, quality, substring_dedup, suffix_dedup, token_counts, token_ids, toxicity, url_filter
+from tidemark.llm import decontamination, exact_dedup, hard_negatives, lexical_search, mixing, ngram_join, quality, substring_dedup, suffix_dedup, token_counts, token_ids, toxicity, url_filter
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@_register("op11_hard_negatives", hard_negatives.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors (ids divisible by 100) against all embeddings."""
+    return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @_register("op12_token_ids")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of byte_bpe_50k, each document ended by id 2, written as Huffman blocks and read back."""

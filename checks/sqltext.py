@@ -100,6 +100,14 @@ slots AS (SELECT key, code % {dim} + 1 AS slot, sum(CASE WHEN (code // {dim}) %
 unit AS (SELECT key, slot, (n / sqrt(sum(n * n) OVER (PARTITION BY key)))::FLOAT::DOUBLE AS w FROM slots WHERE n <> 0)"""
 
 
+def term_counts(source: str, key: str, text: str) -> str:
+    """CTE ``unit``: sparse unit vectors of term counts, a term's bucket being the first 32 bits of its MD5."""
+    return f""", words AS (SELECT {key} AS key, unnest(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+')) AS term FROM {source}),
+codes AS (SELECT key, cast('0x' || left(md5(term), 8) AS BIGINT) AS code FROM words),
+counts AS (SELECT key, code, count(*)::DOUBLE AS n FROM codes GROUP BY ALL),
+unit AS (SELECT key, code, n / sqrt(sum(n * n) OVER (PARTITION BY key)) AS w FROM counts)"""
+
+
 #: The query vector of the V3 searches, and the scored chunks.
 SCORED = """, q AS (SELECT embedding::DOUBLE[] AS qv FROM v3 WHERE chunk_id = 0),
 scored AS (SELECT chunk_id, page_id, list_dot_product(embedding::DOUBLE[], qv)::FLOAT AS similarity FROM v3, q)"""

@@ -200,8 +200,8 @@ def _(spark, sf):
 _TITLES = (
     S.D1
     + ", titles AS (SELECT title, min(bronze_id) AS id, count(*) AS copies FROM d1 WHERE length(title) >= 8 GROUP BY title)"
-    + S.hashed_terms("titles", "id", "title")
-    + """, tp AS (SELECT a.key AS l, b.key AS r, sum(a.w * b.w) AS s FROM unit a JOIN unit b ON a.slot = b.slot AND a.key < b.key
+    + S.term_counts("titles", "id", "title")
+    + """, tp AS (SELECT a.key AS l, b.key AS r, sum(a.w * b.w) AS s FROM unit a JOIN unit b ON a.code = b.code AND a.key < b.key
  GROUP BY a.key, b.key HAVING sum(a.w * b.w) >= 0.95),
 near AS (SELECT l AS a, r AS b FROM tp UNION ALL SELECT r, l FROM tp),
 reach AS (SELECT a AS id, a AS other FROM near UNION SELECT r.id, e.b FROM reach r JOIN near e ON r.other = e.a),

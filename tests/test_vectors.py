@@ -195,3 +195,36 @@ def test_search_order_ties_and_threshold(spark):
     # p3 is not above the threshold; p4 takes a place but has no page.
     assert [r.row_id for r in hits.collect()] == ["p1", "p2"]
     assert hits.schema["similarity"].dataType.simpleString() == "float"
+
+
+def test_short_distinct_titles_stay_apart(spark):
+    titles = [f"Article {i}" for i in range(1, 60)] + ["Report on the harbour", "report on the Harbour"]
+    df = spark.createDataFrame([(f"b{i}", t) for i, t in enumerate(titles)], "bronze_id string, title string")
+    members = title_duplicate_members(df, HashedEmbedder()).collect()
+    assert sorted(r.title for r in members) == ["Report on the harbour", "report on the Harbour"]
+    assert {r.size for r in members} == {2}
+
+
+def test_prefix_links_against_all_pairs(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.clusters import prefix_links
+
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(12)] + ["common"] * 6
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 7))) for _ in range(300)] + ["", "common common"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, title string")
+    vectors = df.withColumn("entries", HashedEmbedder().entries(F.col("title")))
+    rows = {r.id: {e["index"]: e["weight"] for e in r.entries} for r in vectors.collect()}
+    for threshold in (0.95, 0.8, 0.5):
+        got = {(r.left_id, r.right_id) for r in prefix_links(vectors, id_col="id", entries="entries", threshold=threshold).collect()}
+        want = {
+            (a, b)
+            for a in rows
+            for b in rows
+            if a < b and sum(w * rows[b].get(i, 0.0) for i, w in rows[a].items()) >= threshold
+        }
+        assert got == want
+        assert want

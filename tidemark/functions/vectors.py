@@ -148,6 +148,24 @@ class HashedEmbedder:
 
         return count(terms(F.coalesce(text, F.lit(""))))
 
+    def entries(self, text: Column) -> Column:
+        """The sparse unit vector of a text's term counts: (index, weight) per distinct bucket.
+
+        A term's bucket is the first 32 bits of its MD5 (2**32 buckets, so two terms share one
+        only by an MD5 collision of those bits); all in SQL functions, no Python worker. A text
+        without terms has no entries.
+        """
+        codes = F.transform(
+            terms(F.coalesce(text, F.lit(""))),
+            lambda term: F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("long"),
+        )
+        counted = F.transform(
+            F.array_distinct(codes),
+            lambda i: F.struct(i.alias("index"), F.size(F.filter(codes, lambda c: c == i)).cast("double").alias("n")),
+        )
+        norm = F.sqrt(F.aggregate(counted, F.lit(0.0), lambda total, e: total + e["n"] * e["n"]))
+        return F.transform(counted, lambda e: F.struct(e["index"].alias("index"), (e["n"] / norm).alias("weight")))
+
     def encode(self, text: Column) -> Column:
         return words(text)
 

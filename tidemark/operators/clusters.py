@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.constants import TITLE_MIN_CHARS, TITLE_SIMILARITY
@@ -104,6 +104,51 @@ def order_clusters(clusters: DataFrame) -> DataFrame:
     return clusters.orderBy(F.desc("size"), F.desc("max_similarity"), "cluster_id")
 
 
+def prefix_links(vectors: DataFrame, *, id_col: str, entries: str, threshold: float) -> DataFrame:
+    """Every pair of sparse unit vectors with a dot product of at least ``threshold``.
+
+    ``entries`` is an array of (index, weight) with distinct indexes and unit length. Indexes are
+    ordered globally, rarest first. A vector's prefix is its entries from the first up to the
+    last one from which the remaining squared weights still reach ``threshold**2``. If x . y >= t,
+    the prefixes of x and y share an index: otherwise all shared indexes lie in the later part of
+    one of them, whose length is below t, and by Cauchy-Schwarz so is the product. So the prefixes
+    form an inverted index whose self-join gives every close pair; rare indexes come first, so its
+    lists are short. Candidates are verified with the whole vectors. Returns ``left_id, right_id,
+    similarity, connects`` with ``left_id < right_id``.
+    """
+    flat = vectors.select(F.col(id_col).alias("id"), F.explode(entries).alias("e")).select("id", "e.index", "e.weight")
+    counts = flat.groupBy("index").agg(F.count("*").alias("df"))
+    later_first = Window.partitionBy("id").orderBy(F.desc("df"), F.desc("index")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    prefix = (
+        flat.join(counts, "index")
+        .withColumn("rest", F.sum(F.col("weight") * F.col("weight")).over(later_first))
+        .where(F.col("rest") >= F.lit(threshold * threshold - 1e-9))
+        .select("id", "index")
+    )
+    a, b = prefix.alias("a"), prefix.alias("b")
+    pairs = (
+        a.join(b, (F.col("a.index") == F.col("b.index")) & (F.col("a.id") < F.col("b.id")))
+        .select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"))
+        .distinct()
+    )
+    maps = vectors.select(F.col(id_col).alias("id"), F.map_from_entries(entries).alias("m"))
+    left = maps.select(F.col("id").alias("left_id"), F.col("m").alias("lm"))
+    right = maps.select(F.col("id").alias("right_id"), F.col("m").alias("rm"))
+    dot = F.aggregate(
+        F.map_entries("lm"), F.lit(0.0),
+        lambda total, e: total + e["value"] * F.coalesce(F.try_element_at("rm", e["key"]), F.lit(0.0)),
+    )
+    return (
+        pairs.join(left, "left_id")
+        .join(right, "right_id")
+        .select("left_id", "right_id", dot.alias("similarity"))
+        .where(F.col("similarity") >= threshold)
+        .withColumn("connects", F.lit(True))
+    )
+
+
 def title_candidates(df: DataFrame, min_chars: int = TITLE_MIN_CHARS) -> DataFrame:
     """Ids and titles long enough to compare."""
     return df.where(F.length("title") >= min_chars).select("bronze_id", "title")
@@ -122,20 +167,20 @@ def title_duplicate_members(
     back by one join on the title at the end.
     """
     rows = title_candidates(df, min_chars)
-    titles = stage(
-        rows.groupBy("title")
-        .agg(F.min("bronze_id").alias("id"), F.count("*").alias("copies"))
-        .withColumn("vector", embedder.embed(F.col("title"))),
-        "titles",
-    )
-    method = "keys" if embedder.sparse else "cells"
-    links = similarity_links(
-        titles, id_col="id", vector="vector", threshold=threshold, method=method
-    )
+    distinct = rows.groupBy("title").agg(F.min("bronze_id").alias("id"), F.count("*").alias("copies"))
+    if hasattr(embedder, "entries"):
+        # Sparse term vectors: close pairs come from a prefix-filtered inverted index.
+        titles = stage(distinct.withColumn("entries", embedder.entries(F.col("title"))), "titles")
+        links = prefix_links(titles, id_col="id", entries="entries", threshold=threshold)
+        length = F.aggregate("entries", F.lit(0.0), lambda acc, e: acc + e["weight"] * e["weight"])
+    else:
+        titles = stage(distinct.withColumn("vector", embedder.embed(F.col("title"))), "titles")
+        method = "keys" if embedder.sparse else "cells"
+        links = similarity_links(titles, id_col="id", vector="vector", threshold=threshold, method=method)
+        length = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
     links = stage(links, "title-links")
     labels = connected_labels(links.where("connects"), left="left_id", right="right_id")
 
-    length = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
     labelled = titles.select("id", "title", "copies", length.alias("own")).join(labels, "id", "left")
     labelled = labelled.withColumn("cluster_id", F.coalesce("label", "id")).where(
         F.col("label").isNotNull() | ((F.col("copies") > 1) & (F.col("own") >= threshold))

@@ -318,8 +318,8 @@ _DUPES = """CASE WHEN json_array_length(duplicate_clusters) = 0 THEN 'None' ELSE
 def _(spark, sf):
     return view(spark, sf, "v4").select(
         "run_id",
-        F.size(R.parse_json_or_default(F.col("check_summary"), R.CHECKS, F.array())).alias("n_checks"),
-        F.size(R.parse_json_or_default(F.col("drift_report"), R.DRIFT_ITEMS, F.array())).alias("n_drift"),
+        F.size(R.parse_json_or_default(F.col("check_summary"), f"array<{R.CHECKS}>", F.array())).alias("n_checks"),
+        F.size(R.parse_json_or_default(F.col("drift_report"), f"array<{R.DRIFT_ITEMS}>", F.array())).alias("n_drift"),
     )
 
 

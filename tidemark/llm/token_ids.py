@@ -43,6 +43,7 @@ CHECKPOINT_TOKENS = 256
 BLOCK_TOKENS = 1 << 17
 #: Worker cache of pieces (text between the tokenizer's split points) and their ids.
 CACHE_PIECES = 400_000
+
 #: The tokenizer's own split pattern for byte-level BPE (fixed values: the public GPT-2 rule).
 BYTE_LEVEL_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -94,10 +95,10 @@ class Encoder:
             and not spec.get("model", {}).get("dropout")
             and all(not (t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized")) for t in specials)
         )
-        self.split = regex.compile(BYTE_LEVEL_SPLIT)
         self.special_ids = {t["content"]: t["id"] for t in specials}
         contents = sorted(self.special_ids, key=len, reverse=True)
         self.specials = regex.compile("(" + "|".join(regex.escape(c) for c in contents) + ")") if contents else None
+        self.split = regex.compile(BYTE_LEVEL_SPLIT)
         self.chars, self.cache = _byte_chars(), {}
 
     def _piece(self, piece: str) -> list[int]:
@@ -122,6 +123,21 @@ class Encoder:
                 ids.extend(self._piece(piece))
         return ids
 
+    def encode_many(self, texts: list[str]) -> list[list[int]]:
+        return [self.encode(text) for text in texts]
+
+
+_ENCODERS: dict[int, Encoder] = {}
+
+
+def worker_encoder(tokenizer_json: str) -> Encoder:
+    """One encoder, and so one cache, per Python worker and tokenizer; workers serve many tasks."""
+    key = hash(tokenizer_json)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(tokenizer_json)
+    return _ENCODERS[key]
+
 
 # ---------------------------------------------------------------- the code
 
@@ -193,34 +209,45 @@ class Code:
 
 
 def encode_block(ids: np.ndarray, code: Code) -> tuple[bytes, np.ndarray]:
-    """Code bits of ``ids`` (most significant bit first) and the bit offset of every checkpoint id."""
+    """Code bits of ``ids`` (most significant bit first) and the bit offset of every checkpoint id.
+
+    Codes never overlap, so the 32-bit words of the stream are sums of shifted codes: a code of
+    at most 20 bits reaches into two words at most.
+    """
     if len(ids) == 0:
         return b"", np.zeros(0, np.int64)
     lengths = code.length[ids]
     if (lengths == 0).any():
         raise ValueError("an id without a code")
+    values = code.value[ids]
     ends = np.cumsum(lengths)
     starts = ends - lengths
-    owner = np.repeat(np.arange(len(ids)), lengths)
-    shift = lengths[owner] - 1 - (np.arange(int(ends[-1])) - starts[owner])
-    bits = ((code.value[ids][owner] >> shift) & 1).astype(np.uint8)
-    return np.packbits(bits).tobytes(), starts[::CHECKPOINT_TOKENS].astype(np.int64)
-
-
-def decode_block(data: bytes, checkpoints: np.ndarray, count: int, code: Code) -> np.ndarray:
-    """``count`` ids from code bits; the lanes that start at the checkpoints decode side by side."""
-    out = np.zeros(count, np.int64)
-    if count == 0:
+    word = starts >> 5
+    last = (starts & 31) + lengths  # end of the code within its first word, 1..52
+    spill = np.maximum(last - 32, 0)
+    first_part = (values >> spill) << np.maximum(32 - last, 0)
+    second_part = (values & ((1 << spill) - 1)) << (32 - spill)
+    size = int(ends[-1] + 31) >> 5
+    words = np.bincount(word, weights=first_part, minlength=size + 1)
+    words += np.bincount(word + 1, weights=np.where(spill > 0, second_part, 0), minlength=size + 1)
+    data = words[:size].astype(np.uint64).astype(">u4").tobytes()
+    return data[: (int(ends[-1]) + 7) >> 3], starts[::CHECKPOINT_TOKENS].astype(np.int64)
+
+
+def decode_lanes(data: bytes, positions: np.ndarray, bases: np.ndarray, counts: np.ndarray, total: int, code: Code) -> np.ndarray:
+    """Ids of many lanes at once: lane k starts at bit ``positions[k]`` of ``data`` and puts its
+    ``counts[k]`` (at most ``CHECKPOINT_TOKENS``) ids at ``bases[k]`` of the result. Each step
+    looks up the next ``MAX_BITS`` bits of every live lane in the code's table."""
+    out = np.zeros(total, np.int64)
+    if total == 0:
         return out
     buffer = np.frombuffer(data + b"\0" * 8, np.uint8).astype(np.int64)
-    lanes = len(checkpoints)
-    position = np.asarray(checkpoints, np.int64).copy()
-    base = np.arange(lanes) * CHECKPOINT_TOKENS
+    position = np.asarray(positions, np.int64).copy()
+    bases = np.asarray(bases, np.int64)
+    counts = np.asarray(counts, np.int64)
     mask = (1 << code.max_bits) - 1
-    for step in range(CHECKPOINT_TOKENS):
-        live = base + step < count
-        if not live.any():
-            break
+    for step in range(int(counts.max(initial=0))):
+        live = counts > step
         at = position[live]
         byte = at >> 3
         word = (buffer[byte] << 24) | (buffer[byte + 1] << 16) | (buffer[byte + 2] << 8) | buffer[byte + 3]
@@ -228,11 +255,23 @@ def decode_block(data: bytes, checkpoints: np.ndarray, count: int, code: Code) -
         symbol = code.symbol[window]
         if (symbol < 0).any():
             raise ValueError("bits that are no code")
-        out[base[live] + step] = symbol
+        out[bases[live] + step] = symbol
         position[live] = at + code.width[window]
     return out
 
 
+def _lanes(checkpoints: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each checkpoint's lane puts its ids, and how many it has."""
+    bases = np.arange(len(checkpoints), dtype=np.int64) * CHECKPOINT_TOKENS
+    return bases, np.minimum(CHECKPOINT_TOKENS, count - bases)
+
+
+def decode_block(data: bytes, checkpoints: np.ndarray, count: int, code: Code) -> np.ndarray:
+    """``count`` ids from one block; the lanes that start at its checkpoints decode side by side."""
+    bases, counts = _lanes(np.asarray(checkpoints), count)
+    return decode_lanes(data, checkpoints, bases, counts, count, code)
+
+
 # ---------------------------------------------------------------- the Spark job
 
 _STAGED = "part int, ord long, doc_id long, local_start long, n_tokens long, ids binary"
@@ -257,13 +296,12 @@ def _tokenized(docs: DataFrame, tokenizer_json: str, end_id: int | None, wide: b
     dtype = np.dtype("<u4") if wide else np.dtype("<u2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = worker_encoder(shared.value)
         ord_, local = 0, 0
         for batch in batches:
             parts_, ids_, texts = (batch.column(i).to_pylist() for i in range(3))
             ords, starts, counts, blobs = [], [], [], []
-            for text in texts:
-                ids = encoder.encode(text)
+            for ids in encoder.encode_many(texts):
                 if end_id is not None:
                     ids.append(end_id)
                 ords.append(ord_)
@@ -378,15 +416,31 @@ def read_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Code(shared.value)
         for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            # All lanes of all blocks of the batch decode together.
+            sizes = [int(sum(c)) for c in columns[4]]
+            token_at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+            byte_at = np.concatenate([[0], np.cumsum([len(b) for b in columns[6]])]).astype(np.int64)
+            positions, bases, counts = [], [], []
+            for k, (marks, size) in enumerate(zip(columns[5], sizes)):
+                marks = np.asarray(marks, np.int64)
+                lane_bases, lane_counts = _lanes(marks, size)
+                positions.append(marks + 8 * byte_at[k])
+                bases.append(lane_bases + token_at[k])
+                counts.append(lane_counts)
+            ids = decode_lanes(
+                b"".join(columns[6]), np.concatenate(positions or [np.zeros(0, np.int64)]),
+                np.concatenate(bases or [np.zeros(0, np.int64)]), np.concatenate(counts or [np.zeros(0, np.int64)]),
+                int(token_at[-1]), code,
+            ).astype("<u4")
             out: dict[str, list] = {k: [] for k in ("part", "ord", "doc_id", "local_start", "n_tokens", "ids_crc32")}
-            for part, first, local, doc_ids, counts, marks, bits in zip(*(batch.column(i).to_pylist() for i in range(7))):
-                ids = decode_block(bits, np.asarray(marks, np.int64), int(sum(counts)), code).astype("<u4")
-                at = 0
-                for k, (doc, n) in enumerate(zip(doc_ids, counts)):
+            for k, (part, first, local, doc_ids, doc_counts) in enumerate(zip(*columns[:5])):
+                at = int(token_at[k])
+                for j, (doc, n) in enumerate(zip(doc_ids, doc_counts)):
                     out["part"].append(part)
-                    out["ord"].append(first + k)
+                    out["ord"].append(first + j)
                     out["doc_id"].append(doc)
-                    out["local_start"].append(local + at)
+                    out["local_start"].append(local + at - int(token_at[k]))
                     out["n_tokens"].append(n)
                     out["ids_crc32"].append(zlib.crc32(ids[at : at + n].tobytes()))
                     at += n

@@ -228,3 +228,31 @@ def test_prefix_links_against_all_pairs(spark):
         }
         assert got == want
         assert want
+
+
+def test_connected_labels_split_hubs(spark):
+    """One group holds a third of all nodes; no task of a relink holds a tenth of the edges."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import clusters
+
+    hub = [(0, k) for k in range(1, 3001)]
+    chains = [(k, k + 1) for k in range(10_000, 15_998) if k % 3]
+    edges = spark.createDataFrame(hub + chains, "a long, b long")
+    labels = {r[0]: r[1] for r in clusters.connected_labels(edges, left="a", right="b", hub_edges=200).collect()}
+    assert all(labels[k] == 0 for k in range(3001))
+    assert labels[10_001] == 10_000 and labels[10_002] == 10_000 and labels[10_004] == 10_003
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        both = both.union(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        lowest = both.groupBy("u").agg(F.min("v").alias("m"))
+        relinked = clusters._relink(both, lowest, hub_edges=200)
+        per_task = relinked.groupBy(F.spark_partition_id()).count().collect()
+        assert relinked.count() == both.count()
+        assert max(r["count"] for r in per_task) < both.count() / 10
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -11,32 +11,55 @@ from tidemark.operators.similarity import similarity_links
 from tidemark.session import delete_folder, stage, stage_to
 
 MAX_ROUNDS = 60
+#: A node with more edges than this is a hub: its edge list is split over several salted keys.
+HUB_EDGES = 100_000
 
 
-def _relink(edges: DataFrame, lowest: DataFrame) -> DataFrame:
-    """Edges (u, v) with u's lowest neighbour ``m`` attached; u is unique on the other side."""
-    return edges.join(lowest, "u")
+def _hubs(edges: DataFrame, hub_edges: int) -> DataFrame:
+    """(u, salts) of the nodes with more than ``hub_edges`` edges as ``u``.
+
+    There are at most 2 x edges / hub_edges of them, so the table is broadcast.
+    """
+    return F.broadcast(
+        edges.groupBy("u")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > hub_edges)
+        .select("u", F.ceil(F.col("n") / hub_edges).cast("int").alias("salts"))
+    )
+
+
+def _relink(edges: DataFrame, lowest: DataFrame, hub_edges: int = HUB_EDGES) -> DataFrame:
+    """Edges (u, v) with u's lowest neighbour ``m`` attached; u is unique on the other side.
+
+    A hub's edges are dealt over ``salts`` keys by a hash of ``v``, and its row of ``lowest`` is
+    copied to each, so no task holds more than about ``hub_edges`` edges of one node.
+    """
+    hubs = _hubs(edges, hub_edges)
+    salts = F.coalesce(F.col("salts"), F.lit(1))
+    dealt = edges.join(hubs, "u", "left").withColumn("s", F.pmod(F.xxhash64("v"), salts)).drop("salts")
+    copies = lowest.join(hubs, "u", "left").withColumn("s", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    return dealt.join(copies, ["u", "s"]).drop("s")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, hub_edges: int = HUB_EDGES) -> DataFrame:
     """Link every larger neighbour of a node to the node's lowest neighbour or itself."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     lowest = both.groupBy("u").agg(F.min("v").alias("low")).select(
         "u", F.least("u", "low").alias("m")
     )
     return (
-        _relink(both, lowest)
+        _relink(both, lowest, hub_edges)
         .where(F.col("v") > F.col("u"))
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
         .distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, hub_edges: int = HUB_EDGES) -> DataFrame:
     """Link a node and its smaller neighbours to the lowest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     lowest = down.groupBy("u").agg(F.min("v").alias("m"))
-    neighbours = _relink(down, lowest).where(F.col("v") != F.col("m")).select(
+    neighbours = _relink(down, lowest, hub_edges).where(F.col("v") != F.col("m")).select(
         F.col("v").alias("u"), F.col("m").alias("v")
     )
     return neighbours.union(lowest.select("u", F.col("m").alias("v"))).distinct()
@@ -52,13 +75,16 @@ def _all_stars(edges: DataFrame) -> bool:
 
 
 def connected_labels(
-    edges: DataFrame, *, left: str, right: str, max_rounds: int = MAX_ROUNDS
+    edges: DataFrame, *, left: str, right: str, max_rounds: int = MAX_ROUNDS, hub_edges: int = HUB_EDGES
 ) -> DataFrame:
     """(id, label) of every node with an edge; the label is the smallest id of its group.
 
     Alternating large-star and small-star rounds: each is two aggregations and two joins on
     one key, no group is gathered anywhere, and the number of rounds grows with the logarithm
-    of the graph size rather than its diameter. Raises when ``max_rounds`` do not suffice.
+    of the graph size rather than its diameter. Minima are combined before the shuffle, and the
+    edges of a node with more than ``hub_edges`` of them are split over salted keys, so one
+    group holding a third of all nodes is no task's whole load. Raises when ``max_rounds`` do
+    not suffice.
     """
     current = edges.select(
         F.greatest(left, right).alias("u"), F.least(left, right).alias("v")
@@ -71,7 +97,7 @@ def connected_labels(
             roots = current.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()
             return stars.unionByName(roots)
         last = folder
-        current, folder = stage_to(_small_star(_large_star(current)), "stars")
+        current, folder = stage_to(_small_star(_large_star(current, hub_edges), hub_edges), "stars")
         delete_folder(spark, last)  # each round is written before the one it came from goes
     raise RuntimeError(f"connected groups not settled after {max_rounds} rounds")
 

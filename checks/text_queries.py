@@ -274,6 +274,39 @@ def _(spark, sf):
     return _links(spark, sf).where(keep).select("page_id", "link")
 
 
+#: Sites over the hosts of the pages view; the second entry for one host replaces the first.
+_SITES = (
+    {"url": "https://blog.tionsh.example.net/", "url_patterns": ("*/de/*", "*/fr/*"), "include_external": False},
+    {"url": "http://thther.example.org/start", "url_patterns": ("*?page=2*",), "include_external": True},
+    {"url": "https://m.ththth.example.net/", "url_patterns": ("*/en/1??/", "*/fr/*"), "include_external": False},
+    {"url": "https://blog.tionsh.example.net/other", "url_patterns": ("*#top", "*/es/*"), "include_external": False},
+)
+_SITE_ROWS = ", ".join(
+    f"({k}, '{site['url']}', '{links.glob_to_regex(p)}', {str(site['include_external']).lower()})"
+    for k, site in enumerate(_SITES)
+    for p in site["url_patterns"]
+)
+_HTML = r"regexp_matches(raw_markdown, '(?i)^\s*<(!doctype\s+html|html)\b')"
+
+
+@check(
+    "url_pattern_filter_sites",
+    f""", sites(ord, site_url, pattern, external) AS (VALUES {_SITE_ROWS}),
+hosts AS (SELECT ord, regexp_extract(site_url, '://([^/?#]*)', 1) AS host, pattern, external FROM sites),
+owner AS (SELECT host, max(ord) AS ord FROM hosts GROUP BY host),
+rules AS (SELECT h.* FROM hosts h JOIN owner USING (host, ord))
+SELECT page_id, url FROM v2 WHERE EXISTS (
+    SELECT 1 FROM rules r WHERE r.host = regexp_extract(v2.start_url, '://([^/?#]*)', 1)
+      AND regexp_matches(v2.url, r.pattern)
+      AND (r.external OR regexp_extract(v2.url, '://([^/?#]*)', 1) = r.host))
+  AND (raw_markdown IS NULL OR {_HTML})""",
+    ("v2",),
+)
+def _(spark, sf):
+    pages = view(spark, sf, "v2").select("page_id", "url", "start_url", F.col("raw_markdown").alias("html"))
+    return links.passing_pages(pages, _SITES).select("page_id", "url")
+
+
 @check(
     "content_type_filter",
     r"SELECT page_id, url FROM v2 WHERE regexp_matches(raw_markdown, '(?i)^\s*<(!doctype\s+html|html)\b')",

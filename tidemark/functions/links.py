@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.constants import LINKS_PER_SITE, SITES
@@ -39,26 +39,41 @@ def is_html(body: Column, content_type: Column | None = None) -> Column:
     return F.coalesce(F.lower(content_type).startswith("text/html"), sniffed, F.lit(False))
 
 
-def site_patterns(sites: Sequence[dict] = SITES) -> Column:
-    """Predicate over ``site_url`` and ``link``: the link passes its own site's globs."""
-    branches = F.lit(False)
-    for site in sites:
-        branches = F.when(
-            F.col("site_url") == site["url"],
-            matches_any_pattern(F.col("link"), site["url_patterns"]),
-        ).otherwise(branches)
-    return branches
-
-
-def passes_site(sites: Sequence[dict] = SITES) -> Column:
-    """Predicate over stored pages (``start_url``, ``url``, ``html``): the page is HTML, on its
-    site's host or an allowed external one, and matches its site's globs."""
-    passes = F.lit(False)
-    for site in sites:
-        own = on_site(F.col("url"), F.col("start_url"), F.lit(site.get("include_external", False)))
-        fits = own & matches_any_pattern(F.col("url"), site["url_patterns"])
-        passes = F.when(url_domain(F.col("start_url")) == url_domain(F.lit(site["url"])), fits).otherwise(passes)
-    return F.coalesce(passes, F.lit(False)) & (F.col("html").isNull() | is_html(F.col("html")))
+def site_rules(spark: SparkSession, sites: Sequence[dict] = SITES) -> DataFrame:
+    """One row per (site, pattern): ``_site_host``, ``_site_regex`` (the anchored glob) and
+    ``_site_external``. Of sites with the same host the one listed last holds; a site without
+    patterns lets nothing pass. The table is as large as the configuration."""
+    rows = [
+        (order, site["url"], glob_to_regex(pattern), bool(site.get("include_external", False)))
+        for order, site in enumerate(sites)
+        for pattern in site.get("url_patterns") or ()
+    ]
+    listed = spark.createDataFrame(rows, "_site_order int, _site_url string, _site_regex string, _site_external boolean")
+    listed = listed.withColumn("_site_host", url_domain(F.col("_site_url")))
+    hosts = spark.createDataFrame(
+        [(order, site["url"]) for order, site in enumerate(sites)], "_site_order int, _site_url string"
+    ).select(url_domain(F.col("_site_url")).alias("_site_host"), "_site_order")
+    last = hosts.groupBy("_site_host").agg(F.max("_site_order").alias("_site_order"))
+    return listed.join(last, ["_site_host", "_site_order"]).select("_site_host", "_site_regex", "_site_external")
+
+
+def passing_pages(pages: DataFrame, sites: Sequence[dict] = SITES) -> DataFrame:
+    """Stored pages (``start_url``, ``url``, ``html``) that pass their site's filters.
+
+    The rules are a broadcast table joined on the start URL's host: a page passes when its URL
+    matches one of the patterns of the site listed last for that host, it is on that host or
+    the site allows external pages, and it is HTML (or has no body). Pages keep their columns.
+    """
+    rules = site_rules(pages.sparkSession, sites)
+    # Both sides are named through their frames, so pages may hold columns of the same names.
+    host, regex, external = rules["_site_host"], rules["_site_regex"], rules["_site_external"]
+    fits = (
+        (url_domain(pages["start_url"]) == host)
+        & F.regexp_like(pages["url"], regex)
+        & (external | (url_domain(pages["url"]) == host))
+    )
+    kept = pages.join(F.broadcast(rules), fits, "left_semi")
+    return kept.where(F.col("html").isNull() | is_html(F.col("html")))
 
 
 def split_query_terms(query: str) -> list[str]:

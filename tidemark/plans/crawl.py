@@ -12,7 +12,7 @@ from tidemark.constants import TEXT_CHAR_CAP
 from tidemark.functions.bm25 import bm25_fit
 from tidemark.functions.extraction import normalize_records
 from tidemark.functions.ids import url_domain
-from tidemark.functions.links import keyword_relevance, passes_site
+from tidemark.functions.links import keyword_relevance, passing_pages
 from tidemark.operators.crawl import crawl_status, failed_pages, page_gate, site_stats
 from tidemark.session import stage, staging
 from tidemark.sources import lake as tables
@@ -53,7 +53,7 @@ def extract_pages(
     with staging(lake.spark, lake.staging), record_run("crawl", lake, query=query) as handle:
         stored = read_pages(lake.spark, pages_path)
         if sites is not None:
-            stored = stored.where(passes_site(sites))
+            stored = passing_pages(stored, sites)
         fetched = fetched_pages(stored, query)
         gated = stage(page_gate(fetched).drop("html"), "gated-pages")
         file_stamp = datetime.fromisoformat(stamp).strftime("%Y%m%dT%H%M%SZ")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_root, stage
 
-__all__ = ["WORD", "documents", "fold_ascii", "new_folder", "stage", "text_or_empty", "word_count"]
+__all__ = ["WORD", "documents", "fold_ascii", "fresh", "new_folder", "stage", "text_or_empty", "word_count"]
 
 #: A word: a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,6 +17,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``docs`` has it (case ignored)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

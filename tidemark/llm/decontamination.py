@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, stage, text_or_empty
+from tidemark.llm.common import WORD, fresh, stage, text_or_empty
 from tidemark.llm.repeats import id_back, id_key, keyed
 
 #: Words in a shingle; shorter items are one shingle.
@@ -179,6 +179,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
 def without_items(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their columns."""
     flagged = stage(_flagged(docs, benchmark, text, radius).select(*_KEY), "flagged")
-    marked = flagged.select(F.col("id").alias("_id"), F.col("row").alias("_row"))
-    same = (id_key(docs["doc_id"]) == F.col("_id")) & (F.xxhash64(text_or_empty(docs[text])) == F.col("_row"))
+    i, r = fresh(docs, "_id"), fresh(docs, "_row")
+    marked = flagged.select(F.col("id").alias(i), F.col("row").alias(r))
+    same = (id_key(docs["doc_id"]) == marked[i]) & (F.xxhash64(text_or_empty(docs[text])) == marked[r])
     return docs.join(marked, same, "left_anti")

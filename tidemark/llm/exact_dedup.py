@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold_ascii, new_folder, stage, text_or_empty
+from tidemark.llm.common import fold_ascii, fresh, new_folder, stage, text_or_empty
 from tidemark.llm.repeats import id_key, maybe_touched
 
 #: Arrival files in one micro-batch; all files are read.
@@ -169,13 +169,15 @@ def keep_one(docs: DataFrame, *, text: str = "text") -> DataFrame:
     A row that is there several times, with the same id and an equal text, stays once.
     """
     groups = stage(exact_groups(docs, text=text).where("kept"), "kept")
-    kept = groups.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count(F.lit(1)).alias("_n"))
-    own = F.sha2(fold_ascii(text_or_empty(text)), 256)
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_sha"))).drop("_id")
-    if kept.where("_n > 1").isEmpty():  # no row is repeated, so the texts are read once
-        return rows.drop("_sha", "_n")
-    once = rows.where("_n = 1").drop("_sha", "_n")
-    return once.unionByName(rows.where("_n > 1").dropDuplicates(["doc_id", "_sha"]).drop("_sha", "_n"))
+    # Helper columns take names that no column of docs has.
+    i, sha, n = fresh(docs, "_id"), fresh(docs, "_sha"), fresh(docs, "_n")
+    kept = groups.groupBy(F.col("doc_id").alias(i), F.col("text_sha256").alias(sha)).agg(F.count(F.lit(1)).alias(n))
+    own = F.sha2(fold_ascii(text_or_empty(docs[text])), 256)
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept[i]) & (own == kept[sha])).drop(kept[i])
+    if kept.where(F.col(n) > 1).isEmpty():  # no row is repeated, so the texts are read once
+        return rows.drop(kept[sha], kept[n])
+    once = rows.where(kept[n] == 1).drop(kept[sha], kept[n])
+    return once.unionByName(rows.where(kept[n] > 1).dropDuplicates(["doc_id", sha]).drop(kept[sha], kept[n]))
 
 
 #: The same rows of :func:`exact_groups` in DuckDB.

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import stage, text_or_empty, word_count
+from tidemark.llm.common import fresh, stage, text_or_empty, word_count
 
 #: Documents in a key range, on average.
 RANGE_DOCUMENTS = 1024
@@ -122,7 +122,8 @@ def _taken(rows: DataFrame, sizes: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, *, text: str = "text") -> DataFrame:
     """The mix itself: each taken copy of a document as a row, ``copy`` from 1, with its ``words``.
 
-    The rows keep the columns of ``docs``. ``words`` is the document's size, but for the copy at
+    The rows keep the columns of ``docs`` (one named ``copy`` or ``words`` as ``copy_`` or ``words_``,
+    more underscores if those are taken too). ``words`` is the document's size, but for the copy at
     the budget's cut, of which the mix takes the first ``words`` words; its text stays whole.
     Documents that the mix does not take have no row. Each row carries its own share, so rows
     with one id, or without one, are told apart.
@@ -133,7 +134,9 @@ def mixed_documents(docs: DataFrame, *, text: str = "text") -> DataFrame:
     n = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))
     copies = taken.select("whole", "size", "taken", F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("copy"))
     words = F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size"))
-    return copies.select("whole.*", "copy", words.alias("words"))
+    # A document's own columns named copy or words keep their values under a name with "_" added.
+    own = [F.col("whole").getField(c).alias(c if c.lower() not in ("copy", "words") else fresh(docs.select(*docs.columns, F.lit(0).alias("copy"), F.lit(0).alias("words")), c)) for c in docs.columns]
+    return copies.select(*own, "copy", words.alias("words"))
 
 
 #: The same rows of :func:`mix` in DuckDB.

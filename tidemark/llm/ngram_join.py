@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm import windows
-from tidemark.llm.common import stage
-from tidemark.llm.repeats import id_back, keyed, maybe_touched
+from tidemark.llm.common import fresh, stage, text_or_empty
+from tidemark.llm.repeats import id_back, id_key, keyed, maybe_touched
 from tidemark.operators.clusters import connected_labels
 
 #: Words in a shingle, and the similarity of a link as a fraction.
@@ -313,17 +313,8 @@ def _whole_sets(rows: DataFrame, docs: DataFrame, wanted: DataFrame) -> DataFram
     return owners.join(texts, ["id", "row"]).select("set", "text").mapInArrow(run, "set long, shingles binary, bits binary")
 
 
-def similar_groups(docs: DataFrame, *, text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
-
-    A text's set holds its distinct shingles of five words (A-Z lower-cased); with fewer words
-    the whole sequence is its one shingle; null, empty and blank texts have the empty set and are
-    linked with nothing. Two texts are linked when 100 times the size of the intersection is at
-    least 75 times that of the union. ``component_id`` is the smallest id that links lead to, the
-    own one included. Equal texts are linked; repeated rows and rows with one id are all counted,
-    a null id is smaller than any other. An empty table gives an empty result. Other columns are
-    not read. Sets are told apart by 64-bit hashes.
-    """
+def _groups(docs: DataFrame, text: str) -> DataFrame:
+    """``id, row, n, low``: each (id, text) of ``docs`` with its set size and the smallest id of its group."""
     rows = keyed(docs, text)
     scanned = stage(_scan(rows), "scan")
     found = scanned.where("shingle IS NULL").select("id", "row", "n", "set")
@@ -341,19 +332,36 @@ def similar_groups(docs: DataFrame, *, text: str = "text") -> DataFrame:
     grouped = grouped.withColumn("label", F.coalesce("label", "set"))
     lowest = grouped.groupBy("label").agg(F.min("id").alias("low"))
     by_set = grouped.select("set", "label").distinct().join(lowest, "label").select("set", "low")
-    out = found.join(by_set, "set", "left").select(F.col("id"), "n", F.coalesce("low", "id").alias("low"))
-    component = id_back("low")
-    return out.select(id_back().alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
+    return found.join(by_set, "set", "left").select("id", "row", "n", F.coalesce("low", "id").alias("low"))
+
+
+def similar_groups(docs: DataFrame, *, text: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
+
+    A text's set holds its distinct shingles of five words (A-Z lower-cased); with fewer words
+    the whole sequence is its one shingle; null, empty and blank texts have the empty set and are
+    linked with nothing. Two texts are linked when 100 times the size of the intersection is at
+    least 75 times that of the union. ``component_id`` is the smallest id that links lead to, the
+    own one included. Equal texts are linked; repeated rows and rows with one id are all counted,
+    a null id is smaller than any other. An empty table gives an empty result. Other columns are
+    not read. Sets are told apart by 64-bit hashes.
+    """
+    out = _groups(docs, text)
+    return out.select(id_back().alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), id_back("low").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, *, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their group, with their columns.
 
-    Rows that repeat that id stay as they are.
+    A row is known by its id and the hash of its text, so a near copy that shares its id with
+    the first of another group still goes. Repeated rows of a first (same id, same text) stay
+    as they are. Columns of any name pass through.
     """
-    groups = similar_groups(docs, text=text)
-    firsts = stage(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct(), "firsts")
-    return docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    groups = _groups(docs, text)
+    i, r = fresh(docs, "_id"), fresh(docs, "_row")
+    firsts = stage(groups.where(F.col("id") == F.col("low")).select(F.col("id").alias(i), F.col("row").alias(r)).distinct(), "firsts")
+    same = (id_key(docs["doc_id"]) == firsts[i]) & (F.xxhash64(text_or_empty(docs[text])) == firsts[r])
+    return docs.join(firsts, same, "left_semi")
 
 
 #: The same rows in DuckDB.

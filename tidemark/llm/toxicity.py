@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import fresh, text_or_empty
 from tidemark.llm.logistic import fit_logistic, logistic
 
 #: Labelled documents that a model is fitted on, by class, in the order of a hash of their id.
@@ -197,7 +197,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     kept = docs.drop("score")
-    rows = kept.withColumn("_body", text_or_empty(text))
+    rows = kept.select("*", text_or_empty(text).alias(fresh(kept, "_body")))
     schema = kept.select("*", F.lit(0.0).alias("score")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,6 +225,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, text: str = "text") -> DataF
 def without_toxic(docs: DataFrame, labels: DataFrame, *, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their columns."""
     model = learn(docs, labels, text=text)
-    judged = score(docs.select("*", F.col(text).alias("_own")).withColumnRenamed("score", "_score"), model, text="_own")
-    kept = judged.where(F.col("score") < THRESHOLD).drop("score", "_own").withColumnRenamed("_score", "score")
-    return kept.select(docs.columns)
+    # The row rides in one struct beside its text, so no column of docs meets a helper's name.
+    whole, body = fresh(docs, "_whole"), fresh(docs, "_text")
+    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias(whole), docs[text].alias(body))
+    judged = score(packed, model, text=body)
+    return judged.where(F.col("score") < THRESHOLD).select(f"{whole}.*")

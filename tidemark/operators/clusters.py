@@ -180,6 +180,14 @@ def title_candidates(df: DataFrame, min_chars: int = TITLE_MIN_CHARS) -> DataFra
     return df.where(F.length("title") >= min_chars).select("bronze_id", "title")
 
 
+def _uses_term_entries(embedder: Embedder) -> bool:
+    """The embedder offers term entries and compares titles by them: an embedder that brings its
+    own ``embed`` over the class that defines ``entries`` has its own vectors compared."""
+    kind = type(embedder)
+    owner = next((k for k in kind.__mro__ if "entries" in vars(k)), None)
+    return owner is not None and getattr(kind, "embed", None) is getattr(owner, "embed", None)
+
+
 def title_duplicate_members(
     df: DataFrame,
     embedder: Embedder,
@@ -194,7 +202,7 @@ def title_duplicate_members(
     """
     rows = title_candidates(df, min_chars)
     distinct = rows.groupBy("title").agg(F.min("bronze_id").alias("id"), F.count("*").alias("copies"))
-    if hasattr(embedder, "entries"):
+    if _uses_term_entries(embedder):
         # Sparse term vectors: close pairs come from a prefix-filtered inverted index.
         titles = stage(distinct.withColumn("entries", embedder.entries(F.col("title"))), "titles")
         links = prefix_links(titles, id_col="id", entries="entries", threshold=threshold)

@@ -31,8 +31,8 @@ TEXT = "A reef survey found more coral this spring than in the ten years before
 
 def article(**changes):
     row = {
-        "title": "Coral survey", "date_published": "2026-04-27", "text": TEXT, "source_url": "https://reef.example/survey",
-        "source_domain": "reef.example", "relevance_score": 0.9, "query": "coral", "crawled_at": "2026-04-28T00:00:00+00:00",
+        "title": "Coral survey", "date_published": "2026-03-17", "text": TEXT, "source_url": "https://reef.example/survey",
+        "source_domain": "reef.example", "relevance_score": 0.9, "query": "coral", "crawled_at": "2026-03-18T00:00:00+00:00",
     }
     return {**row, **changes}
 
@@ -80,7 +80,7 @@ def test_landing_edge_cases(spark, tmp_path):
 
 def test_first_row_wins_over_url_variants_and_text_drift(spark, tmp_path, lake):
     land(spark, tmp_path / "in", "1", [article(source_url="https://REEF.example/survey?utm=x", text=TEXT + " one")])
-    land(spark, tmp_path / "in", "2", [article(source_url="https://reef.example/survey#s", crawled_at="2026-04-28T15:30:00+00:00", text=TEXT + " two")])
+    land(spark, tmp_path / "in", "2", [article(source_url="https://reef.example/survey#s", crawled_at="2026-03-18T15:30:00+00:00", text=TEXT + " two")])
     assert ingest_bronze(spark, str(tmp_path / "in"), lake) == 1
     (row,) = lake.read(tables.BRONZE).collect()
     assert row.text == TEXT + " one" and row.bronze_id.startswith("bronze_")
@@ -249,7 +249,7 @@ def test_search_and_refresh(spark, tmp_path, lake):
     assert search(lake, query).isEmpty()
 
     def refresher(q):
-        refresh(lake, q, pages_path=path, data_dir=str(tmp_path / "data"), crawled_at="2026-04-28T00:00:00+00:00")
+        refresh(lake, q, pages_path=path, data_dir=str(tmp_path / "data"), crawled_at="2026-03-18T00:00:00+00:00")
 
     stale = search_or_refresh(lake, query, refresher, no_refresh=True)
     assert (stale.refreshed, stale.final_matches) == (False, 0) and "not allowed" in stale.status_message
@@ -291,7 +291,7 @@ def test_stream_takes_each_file_once(spark, tmp_path, lake):
 
 def test_findings_stay_whole_in_their_tables(spark, lake):
     rows = [
-        (f"bronze_{i:064x}", f"Same title {i // 3} {i // 3}", None, TEXT, f"https://c.com/{i}", f"d{i}", 1.0, "q", "2026-04-28", "f", "2026-04-28")
+        (f"bronze_{i:064x}", f"Same title {i // 3} {i // 3}", None, TEXT, f"https://c.com/{i}", f"d{i}", 1.0, "q", "2026-03-18", "f", "2026-03-18")
         for i in range(9)
     ]
     df = spark.createDataFrame(rows, BRONZE)
@@ -329,7 +329,7 @@ def test_site_filters_errors_and_whole_bodies(spark, tmp_path, lake):
     spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(path)
     sites = [{"url": "https://a.example.com/", "url_patterns": ("*/2026/*",), "include_external": False}]
     how = {"query": "coral", "data_dir": str(tmp_path / "data")}
-    out = extract_pages(lake, path, crawled_at="2026-04-28T00:00:00+00:00", sites=sites, text_cap=None, **how)
+    out = extract_pages(lake, path, crawled_at="2026-03-18T00:00:00+00:00", sites=sites, text_cap=None, **how)
     (row,) = landing.read_landing_file(spark, out).collect()
     assert row.source_url.endswith("/2026/x") and len(row.text) > 8000
     (run, details), = runs(lake, "crawl")

@@ -94,19 +94,18 @@ def search_pages(
 
 
 def mean_pool(df: DataFrame, *, key: str, vector: str, dim: int) -> DataFrame:
-    """Element-wise mean of the vectors of each key.
+    """Element-wise mean of the vectors of each key; null vectors are left out, so a key with
+    only null vectors has no row.
 
-    One sum per dimension in a single hash aggregate: no explode, and each map task sends one
-    row per key.
+    One vector aggregate (``Summarizer.mean``) with partial results in each map task, so each
+    task sends one row per key whatever ``dim`` is. Vectors must have ``dim`` elements.
     """
-    v = F.col(vector)
-    sums = df.groupBy(key).agg(
-        F.count(v).alias("_n"),
-        *[F.sum(v[i].cast("double")).alias(f"_s{i}") for i in range(dim)],
-    )
-    count = F.greatest(F.col("_n").cast("double"), F.lit(1e-9))
-    mean = F.array(*[(F.col(f"_s{i}") / count).cast("float") for i in range(dim)])
-    return sums.select(key, mean.cast(VECTOR).alias(vector))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    rows = df.where(F.col(vector).isNotNull()).select(key, array_to_vector(F.col(vector)).alias("_v"))
+    means = rows.groupBy(key).agg(Summarizer.mean(F.col("_v")).alias("_m"))
+    return means.select(key, vector_to_array("_m").cast(VECTOR).alias(vector))
 
 
 def bad_vectors(df: DataFrame, *, row_id: str, vector: str, dim: int, n: int = 5) -> DataFrame:

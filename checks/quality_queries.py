@@ -115,6 +115,18 @@ def _(spark, sf):
     return rules.check_summary(_checked(spark, sf))
 
 
+@check(
+    "failing_checks_top",
+    S.C1 + """, r AS (SELECT unnest(why) AS reason FROM c1),
+s AS (SELECT split_part(reason, ': ', 1) AS "column", split_part(reason, ': ', 2) AS "check", count(*) AS failed FROM r GROUP BY ALL)
+SELECT * FROM s ORDER BY failed DESC, "column", "check" LIMIT 3""",
+    ("v1",),
+)
+def _(spark, sf):
+    """The report's top failing checks: the three most failed, ties by column and check."""
+    return rules.check_summary(_checked(spark, sf)).limit(3)
+
+
 @check(
     "null_counts",
     " UNION ALL ".join(

@@ -177,6 +177,23 @@ def test_hard_negatives_against_brute_force(spark):
     assert sorted(tuple(r) for r in got) == sorted(want)
 
 
+def test_hard_negatives_over_several_partitions(spark, monkeypatch):
+    """Anchors and candidates meet when the shuffle keeps its partitions, and over several blocks and groups."""
+    rng = random.Random(7)
+    rows = [(i, rng.randrange(3), [rng.randint(-128, 128) / 256 for _ in range(8)]) for i in range(601)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    want = sorted(_brute_negatives(rows))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert sorted(tuple(r) for r in hard_negatives.hard_negatives(df).collect()) == want
+        monkeypatch.setattr(hard_negatives, "GROUP_ROWS", 200)
+        monkeypatch.setattr(hard_negatives, "ANCHOR_BLOCK", 3)
+        assert sorted(tuple(r) for r in hard_negatives.hard_negatives(df).collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(want) > 100
+
+
 def test_hard_negatives_empty(spark):
     df = spark.createDataFrame([], "vec_id long, label int, embedding array<float>")
     assert hard_negatives.hard_negatives(df).count() == 0

@@ -233,15 +233,18 @@ def hard_negatives(embeddings: DataFrame) -> DataFrame:
     blocks = -(-n_anchors // ANCHOR_BLOCK)
     groups = -(-n_rows // GROUP_ROWS)
 
+    # Both sides of a cogroup are dealt by the hash of their keys, which depends on the key's type.
+    def dealt(key: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
     def candidates() -> DataFrame:
-        return read().withColumn("g", F.pmod(F.xxhash64("row"), F.lit(groups))).withColumn(
-            "b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-        )
+        return read().withColumn("g", dealt("row", groups)).withColumn("b", each(blocks))
 
     def placed() -> DataFrame:
-        return anchors().withColumn("b", F.pmod(F.col("akey"), F.lit(blocks))).withColumn(
-            "g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
-        )
+        return anchors().withColumn("b", dealt("akey", blocks)).withColumn("g", each(groups))
 
     keys = ["b", "g"]
     local = (

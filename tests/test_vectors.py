@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.vectors import HashedEmbedder, ModelEmbedder, checked_vector, l2_normalize
+from tidemark.functions.vectors import HashedEmbedder, ModelEmbedder, _row_slices, checked_vector, l2_normalize
 from tidemark.operators import retrieval
 from tidemark.operators.chunking import chunk_settings, chunk_windows
 from tidemark.operators.clusters import connected_labels, title_duplicate_clusters, title_duplicate_members
@@ -27,6 +27,20 @@ def test_embedder_gives_unit_vectors(spark):
     assert np.allclose(rows[0], rows[3])
 
 
+def test_embedder_works_in_bounded_slices(spark):
+    """Slices hold bounded rows and terms; a batch of many slices gives what each text gives alone."""
+    sizes = np.array([5, 0, 3, 40, 1, 1, 1, 1, 0])
+    slices = list(_row_slices(sizes, 3, 10))
+    assert [(s.start, s.stop) for s in slices] == [(0, 3), (3, 4), (4, 7), (7, 9)]
+    assert list(_row_slices(np.array([], dtype=np.int64), 3, 10)) == []
+    texts = [" ".join(f"w{(i * 7 + j) % 977}" for j in range(i % 300)) for i in range(2500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    vectors = {r[0]: np.array(r[1]) for r in df.coalesce(1).select("i", HashedEmbedder().embed(F.col("t"))).collect()}
+    for i in (0, 1, 299, 1023, 1024, 1799, 2499):
+        alone = spark.createDataFrame([(texts[i],)], "t string").select(HashedEmbedder().embed(F.col("t"))).first()[0]
+        assert np.array_equal(vectors[i], np.array(alone))
+
+
 def test_model_embedder(spark):
     def load():
         return lambda texts: np.array([[len(t), 1.0] for t in texts])

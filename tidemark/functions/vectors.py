@@ -21,6 +21,8 @@ from tidemark.constants import EMBEDDING_DIM, MAX_TOKENS
 from tidemark.functions.text import clean_text, terms, words
 
 VECTOR = T.ArrayType(T.FloatType())
+#: Rows and terms that are counted at once within a batch; they bound the scratch arrays.
+SLICE_ROWS, SLICE_TERMS = 1024, 1 << 18
 
 
 def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:
@@ -109,6 +111,17 @@ def _whitespace_decode(tokens: Column) -> Column:
     return clean_text(F.array_join(tokens, " "), unescape=False)
 
 
+def _row_slices(sizes: np.ndarray, rows: int, values: int) -> Iterator[slice]:
+    """Runs of rows of at most ``rows`` rows and ``values`` list elements, one row at least."""
+    ends, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        before = ends[start] - sizes[start]
+        stop = int(np.searchsorted(ends, before + values, side="right"))
+        stop = max(start + 1, min(stop, start + rows))
+        yield slice(start, stop)
+        start = stop
+
+
 def _term_codes(terms_of_batch: pa.Array) -> np.ndarray:
     """First four bytes of each term's MD5 as an unsigned number."""
     digests = [md5(term.encode()).digest()[:4] for term in terms_of_batch.to_pylist()]
@@ -119,8 +132,9 @@ def _term_codes(terms_of_batch: pa.Array) -> np.ndarray:
 class HashedEmbedder:
     """Signed hashed bag of words, the built-in model.
 
-    Spark splits the text into terms; a batch's distinct terms are hashed once (MD5, so any SQL
-    engine can repeat it), counted per bucket and scaled to unit length with numpy. There is no
+    Spark splits the text into terms; distinct terms are hashed once per slice of a batch (MD5, so
+    any SQL engine can repeat it), counted per bucket and scaled to unit length with numpy. The
+    slices bound a worker's memory, however long the texts of a batch are together. There is no
     shuffle, and the whole text counts.
     """
 
@@ -133,18 +147,23 @@ class HashedEmbedder:
     def embed(self, text: Column) -> Column:
         dim = self.dim
 
-        @F.arrow_udf(VECTOR)
-        def count(batch: pa.Array) -> pa.Array:
-            sizes = pa.compute.list_value_length(batch).to_numpy()
-            encoded = batch.flatten().dictionary_encode()
+        def unit_vectors(part: pa.Array) -> np.ndarray:
+            sizes = pa.compute.list_value_length(part).to_numpy()
+            encoded = part.flatten().dictionary_encode()
             codes = _term_codes(encoded.dictionary)[encoded.indices.to_numpy()]
             cell = np.repeat(np.arange(len(sizes)), sizes) * dim + codes % dim
             sign = np.where(codes // dim % 2 == 0, 1.0, -1.0)
             counts = np.bincount(cell, weights=sign, minlength=len(sizes) * dim).reshape(-1, dim)
             norms = np.maximum(np.sqrt((counts * counts).sum(axis=1, keepdims=True)), 1e-12)
-            unit = (counts / norms).astype(np.float32).ravel()
-            offsets = np.arange(len(sizes) + 1, dtype=np.int32) * dim
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit))
+            return (counts / norms).astype(np.float32)
+
+        @F.arrow_udf(VECTOR)
+        def count(batch: pa.Array) -> pa.Array:
+            unit = np.empty((len(batch), dim), dtype=np.float32)
+            for at in _row_slices(pa.compute.list_value_length(batch).to_numpy(), SLICE_ROWS, SLICE_TERMS):
+                unit[at] = unit_vectors(batch[at])
+            offsets = np.arange(len(batch) + 1, dtype=np.int32) * dim
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.ravel()))
 
         return count(terms(F.coalesce(text, F.lit(""))))
 

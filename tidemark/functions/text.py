@@ -24,14 +24,20 @@ from tidemark.constants import (
 )
 
 _WS_RUN = rf"(?U)[{WS}]+"
+#: Texts whose entities are decoded at once within a batch.
+UNESCAPE_ROWS = 512
 
 
 @F.arrow_udf(T.StringType())
 def _unescape_batch(text: pa.Array) -> pa.Array:
-    # Repeats are decoded once per batch; nulls (rows without "&") cost one validity bit each.
-    encoded = text.dictionary_encode()
-    decoded = pa.array([html.unescape(v.as_py()) for v in encoded.dictionary], pa.string())
-    return pc.take(decoded, encoded.indices)
+    # Repeats are decoded once per slice; nulls (rows without "&") cost one validity bit each.
+    # The slices bound the texts that are Python strings at one time.
+    parts = []
+    for start in range(0, len(text), UNESCAPE_ROWS):
+        encoded = text[start : start + UNESCAPE_ROWS].dictionary_encode()
+        decoded = pa.array([html.unescape(v.as_py()) for v in encoded.dictionary], pa.string())
+        parts.append(pc.take(decoded, encoded.indices))
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 def unescape_html(text: Column) -> Column:

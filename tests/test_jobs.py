@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.vectors import HashedEmbedder
 from tidemark.operators.drift import domain_run_stats, run_drift
 from tidemark.operators.rules import Rule, apply_rules
-from tidemark.plans import reports
+from tidemark.plans import reports, silver
 from tidemark.plans.bronze import (
     check_quality,
     domain_runs,
@@ -218,6 +218,37 @@ def test_lost_pages_are_made_good(spark, tmp_path, lake):
     assert lake.read(tables.CHUNKS).count() == 1 and lake.read(tables.PAGES).count() == 1
 
 
+def test_write_silver_moves_rows_only_when_some_are_new(spark, tmp_path, lake, monkeypatch):
+    """Nothing is appended when all ids are known; a new page and a page without id are."""
+    fill(spark, tmp_path, lake, [article()])
+    build_silver(lake)
+    pages, chunks = lake.read(tables.PAGES), lake.read(tables.CHUNKS)
+    other = Lake(spark, tmp_path / "other")
+    write_silver(pages, chunks, other)
+    appended, append = [], Lake.append
+    monkeypatch.setattr(Lake, "append", lambda self, table, df: (appended.append(table.name), append(self, table, df))[1])
+    write_silver(pages, chunks, other)
+    assert appended == []
+    more = pages.unionByName(pages.withColumn("page_id", F.lit("new"))).unionByName(pages.withColumn("page_id", F.lit(None).cast("string")))
+    write_silver(more, chunks, other)
+    assert appended == ["pages"]
+    assert sorted(str(r.page_id) for r in other.read(tables.PAGES).collect()) == sorted(["None", "new", pages.first().page_id])
+
+
+def test_first_promotion_looks_up_no_ids(spark, tmp_path, lake, monkeypatch):
+    """Without a page table all rows are new; their texts are not shuffled to meet their own ids."""
+    plans, build_pages = [], silver.build_pages
+    def seen(bronze, embedder, **kwargs):
+        plans.append(bronze._jdf.queryExecution().optimizedPlan().toString())
+        return build_pages(bronze, embedder, **kwargs)
+    monkeypatch.setattr(silver, "build_pages", seen)
+    fill(spark, tmp_path, lake, [article()])
+    assert build_silver(lake) == (1, 1)
+    fill(spark, tmp_path, lake, [article(source_url="https://reef.example/more")], name="in2")
+    assert build_silver(lake) == (1, 1)
+    assert ["LeftSemi, ((bronze_id" in p for p in plans] == [False, True]
+
+
 def test_record_run(lake):
     with pytest.raises(ValueError, match="boom"), audit.record_run("bad", lake, query="q"):
         raise ValueError("boom" + "x" * 900)

@@ -123,7 +123,8 @@ def _promote(
         return rows if since_day is None else rows.where(F.col(DAY) >= since_day)
 
     todo = ids(tables.BRONZE)
-    if not rebuild and lake.exists(tables.PAGES):
+    everything = rebuild or not lake.exists(tables.PAGES)
+    if not everything:
         todo = new_silver_rows(todo, ids(tables.PAGES))
     todo = stage(todo.distinct(), "todo")
     if todo.isEmpty():
@@ -131,7 +132,10 @@ def _promote(
         return 0, 0
     days = stage(todo.select(DAY).distinct(), "days")
     bronze = lake.read(tables.BRONZE, [*columns, DAY], days=days)
-    fresh = bronze.join(todo, ["bronze_id", DAY], "left_semi").drop(DAY)
+    if everything:  # all rows of these days; their texts need not move to be looked up
+        fresh = bronze.where(F.col("bronze_id").isNotNull()).drop(DAY)
+    else:
+        fresh = bronze.join(todo, ["bronze_id", DAY], "left_semi").drop(DAY)
 
     # Cleaning and embedding happen once, here; the staged pages feed the count, the chunks and
     # the write. Chunks go straight to their table.
@@ -160,12 +164,19 @@ def _write(lake, table, rows: DataFrame, key: str, rebuild: bool, days) -> None:
         lake.overwrite(table, rows)
         return
     if lake.exists(table):
-        rows = rows_not_in(rows, lake.read(table, [key], days=days), [key])
+        # Only ids meet the table's ids. The rows themselves move only when some of them are new;
+        # few new ids are broadcast to them. A null key is in no table, so it counts as new.
+        ids = rows_not_in(rows.select(key), lake.read(table, [key], days=days), [key])
+        new = stage(ids.select(F.col(key).alias("_new")).distinct(), "new-ids")
+        if new.isEmpty():
+            return
+        rows = rows.join(new, F.col(key).eqNullSafe(F.col("_new")), "left_semi")
     lake.append(table, rows)
 
 
 def write_silver(pages: DataFrame, chunks: DataFrame, lake: Lake, *, mode: str = "append") -> None:
     """Align and write both silver tables, chunks first."""
-    for table, rows, key in ((tables.CHUNKS, chunks, "chunk_id"), (tables.PAGES, pages, "page_id")):
-        aligned = align_frame(rows, table.schema)
-        _write(lake, table, aligned, key, mode == "overwrite", days_of(aligned))
+    with staging(lake.spark, lake.staging):
+        for table, rows, key in ((tables.CHUNKS, chunks, "chunk_id"), (tables.PAGES, pages, "page_id")):
+            aligned = align_frame(rows, table.schema)
+            _write(lake, table, aligned, key, mode == "overwrite", days_of(aligned))

@@ -1,11 +1,12 @@
 """Vectors, chunks, similarity joins and clusters against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import HashedEmbedder, ModelEmbedder, _row_slices, checked_vector, l2_normalize
-from tidemark.operators import retrieval
+from tidemark.operators import retrieval, similarity
 from tidemark.operators.chunking import chunk_settings, chunk_windows
 from tidemark.operators.clusters import connected_labels, title_duplicate_clusters, title_duplicate_members
 from tidemark.operators.similarity import similar_pairs, similarity_links
@@ -176,6 +177,51 @@ def test_links_stay_linear_when_everything_is_close(spark):
     assert best == pytest.approx(np.triu(sims, 1).max())
 
 
+def _many_cells(spark, n=2000, dim=8):
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(n, dim))
+    rows = (rows / np.linalg.norm(rows, axis=1, keepdims=True)).astype(np.float32)
+    return rows, spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "id long, v array<float>")
+
+
+def test_vectors_are_sent_once_to_a_group_of_cells(spark):
+    """Vectors without structure visit nearly all 20 lower cells; fewer copies than that are sent."""
+    rows, df = _many_cells(spark)
+    members, sizes = similarity._cell_members(df.select("id", df.v.alias("vector")), 0.3, 100)
+    sent = similarity._block_tasks(members, sizes).count()
+    assert sent < 10 * len(rows)
+    got = {(r[0], r[1]) for r in similar_pairs(df, id_col="id", vector="v", threshold=0.9, block_rows=100).collect()}
+    close = np.argwhere(np.triu(rows.astype(float) @ rows.T.astype(float), k=1) >= 0.9)
+    assert got == {(int(a), int(b)) for a, b in close} and len(got) > 50
+
+
+def test_blocks_are_compared_in_tiles(monkeypatch):
+    """Every pair of a block comes once, from products of at most 16 by 32 vectors."""
+    monkeypatch.setattr(similarity, "TILE_LEFT", 16)
+    monkeypatch.setattr(similarity, "TILE_RIGHT", 32)
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(150, 4)).astype(np.float32)
+    home = rng.integers(0, 3, 150)
+
+    def block(kind, i, j, side, cells):
+        columns = {"kind": [kind] * 150, "i": [i] * 150, "j": [j] * 150, "side": side, "vector": rows.tolist()}
+        return pa.table({k: pa.array(v, pa.int32()) if k != "vector" else pa.array(v, pa.list_(pa.float32())) for k, v in columns.items()}
+                        | {"cells": pa.array(cells, pa.list_(pa.int32()))})
+
+    sims = rows.astype(float) @ rows.T.astype(float)
+    found = list(similarity._close_pairs(block(0, 0, 0, [0] * 150, [[c] for c in home]), 0.5))
+    assert len(found) > 10 and all(len(left) <= 16 * 32 for left, _, _ in found)
+    pairs = [(int(a), int(b)) for left, right, _ in found for a, b in zip(left, right)]
+    want = {(a, b) for a in range(150) for b in range(a + 1, 150) if home[a] == home[b] and sims[a, b] >= 0.5}
+    assert len(pairs) == len(want) and set(pairs) == want
+    side = [int(k >= 90) for k in range(150)]
+    cells = [[int(home[k])] if k < 90 else [[0, 1], [2], []][k % 3] for k in range(150)]
+    found = list(similarity._close_pairs(block(1, 0, 2, side, cells), 0.5))
+    pairs = [(int(a), int(b)) for left, right, _ in found for a, b in zip(left, right)]
+    want = {(a, b) for a in range(90) for b in range(90, 150) if home[a] in cells[b] and sims[a, b] >= 0.5}
+    assert len(pairs) == len(want) and set(pairs) == want
+
+
 def test_connected_labels_on_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 200)] + [(1000, 999)], "a bigint, b bigint")
     labels = {r[0]: r[1] for r in connected_labels(edges, left="a", right="b").collect()}

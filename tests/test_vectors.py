@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from checks import vector_queries
 from tidemark.functions.vectors import HashedEmbedder, ModelEmbedder, _row_slices, checked_vector, l2_normalize
 from tidemark.operators import retrieval, similarity
 from tidemark.operators.chunking import chunk_settings, chunk_windows
@@ -222,6 +223,15 @@ def test_blocks_are_compared_in_tiles(monkeypatch):
     assert len(pairs) == len(want) and set(pairs) == want
 
 
+def test_cluster_queries_read_staged_links(spark, tmp_path):
+    """The groups and the summary both read the links; the join itself runs once."""
+    _, df = _many_cells(spark, n=60, dim=64)
+    rows = df.selectExpr("id AS vec_id", "v AS embedding", "cast(id % 10 AS int) AS label")
+    rows.write.parquet(str(tmp_path / "embeddings.parquet"))
+    plan = vector_queries._links(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Relation") and "FlatMapGroups" not in plan
+
+
 def test_connected_labels_on_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 200)] + [(1000, 999)], "a bigint, b bigint")
     labels = {r[0]: r[1] for r in connected_labels(edges, left="a", right="b").collect()}

@@ -1,9 +1,11 @@
 """Exact, n-gram, byte and word deduplication against brute force."""
 
 import hashlib
+import itertools
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -235,3 +237,48 @@ def test_byte_windows_of_any_texts(table, texts):
     got = suffix_dedup.remove_repeats(table(rows), window=8, gram=3, batches=2)
     got = sorted(((*r[:4], bytes(r[4])) for r in got.select(*BYTES).collect()), key=repr)
     assert got == bytes_brute(rows, 8)
+
+
+def many_near(groups=40, size=8):
+    """Sets around one text, each group within reach of its own centre and near all other groups."""
+    rng = np.random.default_rng(5)
+    common = rng.integers(0, 1 << 62, 300, np.int64).astype(np.uint64)
+    sets = []
+    for _ in range(groups * size):
+        sets.append(np.unique(np.append(common, rng.integers(0, 1 << 62, int(rng.integers(20, 90)), np.int64).astype(np.uint64))))
+    return sets, np.repeat(np.arange(groups), size)
+
+
+def test_search_rows_grow_no_faster_than_a_list():
+    """A list of near sets of many groups hands on fewer pairs than it has sets, which still
+    connect all that must be compared; the links found connect what all pairs would connect."""
+    sets, labels = many_near()
+    ids, sizes = np.arange(len(sets)), np.array([len(s) for s in sets])
+    bits = [ngram_join.parity_bits(s) for s in sets]
+    near = ngram_join.near_in_list(ids, sizes, labels, bits)
+    links = ngram_join.linked_in_part(ids, labels, bits, sets)
+    brute = []
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        if labels[i] != labels[j] and 4 * shared >= 3 * (sizes[i] + sizes[j] - shared):
+            brute.append((i, j))
+    assert len(brute) > len(sets) > len(near) and len(links) < len(set(labels))
+
+    def parts(pairs, start):
+        part = np.array(start)
+        for i, j in pairs:
+            part[part == part[i]] = part[j]
+        return part
+
+    alone = parts(near, ids)
+    assert all(alone[i] == alone[j] for i, j in brute)
+    assert {tuple(p) for p in links.tolist()} <= set(brute)
+    one, other = parts(links, labels), parts(brute, labels)
+    assert len(set(zip(one, other))) == len(set(one)) == len(set(other))
+
+
+def test_parts_in_many_blocks(table, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 7)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 900)
+    rows = near_copies()
+    assert found(ngram_join.similar_groups(table(rows)), *GROUP) == group_brute(rows)

@@ -13,13 +13,16 @@ overlap are retained.
 
 Only connected groups are asked for, so short lists are merged in rounds. First each set of a
 list is paired with the one of a similar size that has the most common shingles: linear work that
-connects copies. Then only lists that still hold several groups are searched for pairs of
-different groups, with exact bounds on sizes and on differing shingles.
+connects copies. Then only lists that still hold several groups are searched for near sets of
+different groups, with exact bounds on sizes and on differing shingles. A list hands on which of
+its sets such pairs connect, a pair a set at most and not all pairs. The sets so connected over
+all lists meet once more, whole, and links are verified where they meet until no two groups are
+left that one could connect.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,7 @@ from tidemark.llm import windows
 from tidemark.llm.common import fresh, stage, text_or_empty
 from tidemark.llm.repeats import id_back, id_key, keyed, maybe_touched
 from tidemark.operators.clusters import connected_labels
+from tidemark.session import delete_folder, stage_to
 
 #: Words in a shingle, and the similarity of a link as a fraction.
 SHINGLE = 5
@@ -42,11 +46,12 @@ SHARED_LEAST, SHARED_PART = 12, 20
 #: A shingle in more kept sets of one Arrow batch is long for certain: the batch sends one row
 #: for it instead of one per set.
 LONG_IN_BATCH = 64
-#: Sets of a list that are searched together.
-BLOCK = 4096
+#: Sets that are searched together, and their shingles where whole sets are.
+BLOCK, BLOCK_SHINGLES = 4096, 1 << 21
 #: Pairs that a task holds to make them distinct.
 HELD_PAIRS = 1_000_000
 _LONG = 1 << 62
+_BYTES = ("bits", "shingles")
 _CACHE_WORDS = 500_000
 
 
@@ -189,19 +194,22 @@ def parity_bits(shingles: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def near_in_list(sets: np.ndarray, sizes: np.ndarray, labels: np.ndarray, bits: list[bytes]) -> np.ndarray:
-    """Pairs of one list, of different groups, that the sizes and the parity bits allow."""
-    if len(np.unique(labels)) < 2:
-        return np.zeros((0, 2), np.int64)
-    order = np.lexsort((sets, sizes))
-    sets, sizes, labels = sets[order], sizes[order], labels[order]
-    width = np.array([len(bits[i]) for i in order]) // 8
-    table = {w: np.frombuffer(b"".join(bits[i] for i in order[width == w]), np.uint64).reshape(-1, w) for w in np.unique(width)}
+def _near(sizes: np.ndarray, labels: np.ndarray, bits: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each place with the later ones of other groups that the sizes and the parity bits allow.
+
+    The sets come in rising size.
+    """
+    last = np.searchsorted(sizes * NUM, sizes * DEN, side="right")
+    change = np.append(np.flatnonzero(labels[1:] != labels[:-1]) + 1, len(labels))
+    other = change[np.searchsorted(change, np.arange(len(labels)), side="right").clip(max=len(change) - 1)]
+    places = np.flatnonzero(other < last)
+    if not len(places):
+        return
+    width = np.array([len(b) for b in bits]) // 8
+    table = {w: np.frombuffer(b"".join(bits[i] for i in np.flatnonzero(width == w)), np.uint64).reshape(-1, w) for w in np.unique(width)}
     start = {w: int(np.searchsorted(width, w)) for w in table}
     half = {w: t[:, : w // 2] ^ t[:, w // 2 :] for w, t in table.items() if w > 1}
-    last = np.searchsorted(sizes * NUM, sizes * DEN, side="right")
-    found = []
-    for i in range(len(sets) - 1):
+    for i in places.tolist():
         w = int(width[i])
         own = table[w][i - start[w]]
         most = (DEN - NUM) * (sizes[i] + sizes[i + 1 : last[i]]) // (DEN + NUM)
@@ -211,8 +219,51 @@ def near_in_list(sets: np.ndarray, sizes: np.ndarray, labels: np.ndarray, bits:
             parts.append(np.bitwise_count(half[2 * w][: last[i] - edge] ^ own).sum(axis=1))
         good = np.flatnonzero((np.concatenate(parts) <= most) & (labels[i + 1 : last[i]] != labels[i])) + i + 1
         if len(good):
-            found.append(np.c_[np.minimum(sets[i], sets[good]), np.maximum(sets[i], sets[good])])
-    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+            yield i, good
+
+
+def near_in_list(sets: np.ndarray, sizes: np.ndarray, labels: np.ndarray, bits: list[bytes]) -> np.ndarray:
+    """Sets of one list that near sets of other groups connect, each with the smallest of those.
+
+    A set is in one pair at most, however many are near it.
+    """
+    order = np.lexsort((sets, sizes))
+    sets, part = sets[order], np.arange(len(sets))
+    for i, good in _near(sizes[order], labels[order], [bits[k] for k in order]):
+        part = _joined(part, np.append(part[good], part[i]))
+    lowest = np.full(len(sets), np.iinfo(np.int64).max)
+    np.minimum.at(lowest, part, sets)
+    pairs = np.c_[lowest[part], sets]
+    return pairs[pairs[:, 0] != pairs[:, 1]]
+
+
+def linked_in_part(sets: np.ndarray, labels: np.ndarray, bits: list[bytes], shingles: list[np.ndarray]) -> np.ndarray:
+    """Links that connect what whole sets of different groups connect: fewer than there are sets."""
+    sizes = np.array([len(s) for s in shingles], np.int64)
+    order = np.lexsort((sets, sizes))
+    sets, sizes, labels = sets[order], sizes[order], labels[order]
+    part, found = np.unique(labels, return_inverse=True)[1], []
+    for i, good in _near(sizes, labels, [bits[k] for k in order]):
+        good = good[part[good] != part[i]]  # the others are connected by now
+        if not len(good):
+            continue
+        own, ends = shingles[order[i]], np.cumsum(sizes[good])
+        others = np.concatenate([shingles[k] for k in order[good]])
+        same = own[np.minimum(np.searchsorted(own, others), len(own) - 1)] == others
+        shared = np.add.reduceat(same.astype(np.int64), ends - sizes[good])
+        good = good[DEN * shared >= NUM * (sizes[i] + sizes[good] - shared)]
+        parts, first = np.unique(part[good], return_index=True)
+        if len(parts):
+            found.append(np.c_[np.full(len(parts), sets[i]), sets[good[first]]])
+            part = _joined(part, np.append(parts, part[i]))
+    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    return np.sort(pairs, axis=1)
+
+
+def _joined(part: np.ndarray, met: np.ndarray) -> np.ndarray:
+    """``part`` with the parts that have met made one."""
+    met = np.unique(met)
+    return part if len(met) < 2 else np.where(np.isin(part, met), met[0], part)
 
 
 def _whole_lists(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -240,32 +291,28 @@ def _pair_batch(found: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def _cross_pairs(lists: DataFrame, bits: DataFrame) -> DataFrame:
-    """Pairs of sets of one list that are in different groups so far and may be similar.
+def _in_blocks(rows: DataFrame, key: str, search: Callable[[dict], np.ndarray]) -> DataFrame:
+    """The distinct pairs ``search`` finds in the rows of one ``key``, each row with the ``k`` of its key.
 
-    A list is dealt to blocks of bounded size; each block meets itself and every other one in a
-    task's memory, and only pairs that pass the bounds leave it.
+    The rows of a key are dealt to ``k`` blocks by a hash of their set; each block meets itself and
+    every other one in a task's memory.
     """
-    several = lists.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m"))
-    several = several.where("x < y").select("shingle", F.ceil(F.col("m") / BLOCK).alias("k"))
-    rows = lists.join(several, "shingle").join(bits, "set").withColumn("own", F.expr("pmod(xxhash64(set), k)"))
-    met = rows.select(
-        "shingle", "set", "n", "label", "bits", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("other")
-    )
-    met = met.select("shingle", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "set", "n", "label", "bits")
-    keys = ["shingle", "lo", "hi"]
+    names = [c for c in rows.columns if c != "k"]
+    rows = rows.withColumn("own", F.expr("pmod(xxhash64(set), k)"))
+    met = rows.select(*names, "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("other"))
+    met = met.select(F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), *names)
+    keys = [key, "lo", "hi"]
     dealt = met.repartition(*keys).sortWithinPartitions(*keys)
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held = [], 0
         for table in _whole_lists(batches, keys):
-            key = np.c_[tuple(table.column(k).to_numpy() for k in keys)]
-            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            sets, sizes, labels = (table.column(c).to_numpy() for c in ("set", "n", "label"))
-            bits = table.column("bits").to_pylist()
-            for i, j in zip([0, *cuts], [*cuts, len(sets)], strict=True):
+            columns = {c: table.column(c).to_pylist() if c in _BYTES else table.column(c).to_numpy() for c in table.column_names}
+            at = np.c_[tuple(columns[k] for k in keys)]
+            cuts = np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1
+            for i, j in zip([0, *cuts], [*cuts, len(at)], strict=True):
                 if j - i > 1:
-                    found.append(near_in_list(sets[i:j], sizes[i:j].astype(np.int64), labels[i:j], bits[i:j]))
+                    found.append(search({c: values[i:j] for c, values in columns.items()}))
                     held += len(found[-1])
             if held > HELD_PAIRS:  # lists share pairs, so they are made distinct before they leave
                 yield _pair_batch(found)
@@ -273,7 +320,47 @@ def _cross_pairs(lists: DataFrame, bits: DataFrame) -> DataFrame:
         if held:
             yield _pair_batch(found)
 
-    return dealt.mapInArrow(search, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _near_pairs(lists: DataFrame, bits: DataFrame) -> DataFrame:
+    """Pairs that connect all sets of one list that are in different groups and may be similar.
+
+    No more pairs than rows leave a list, so they are not the similar pairs themselves: those are
+    among the sets that the pairs connect.
+    """
+    several = lists.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m"))
+    several = several.where("x < y").select("shingle", F.ceil(F.col("m") / BLOCK).alias("k"))
+    rows = lists.join(several, "shingle").join(bits, "set").select("shingle", "set", "n", "label", "bits", "k")
+
+    def search(part: dict) -> np.ndarray:
+        return near_in_list(part["set"], part["n"].astype(np.int64), part["label"], part["bits"])
+
+    return _in_blocks(rows, "shingle", search)
+
+
+def _cross_links(near: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links that connect the groups, found among the whole sets that ``near`` connects.
+
+    A set belongs to one such part, so it moves once and not once a pair. Parts are dealt to
+    blocks of bounded numbers of sets and shingles; only links that connect leave one.
+    """
+    parts = connected_labels(near, left="a", right="b").select(F.col("id").alias("set"), F.col("label").alias("part"))
+    parts = stage(parts, "parts")
+    touched = maybe_touched(sets.withColumnRenamed("set", "id"), parts.select(F.col("set").alias("id")))
+    members = touched.withColumnRenamed("id", "set").join(parts, "set")
+    members = members.join(labels.withColumnRenamed("id", "set"), "set", "left")
+    members = members.withColumn("label", F.coalesce("label", "set"))
+    size = F.octet_length("shingles") / 8
+    total = sets.select("set", size.alias("n")).join(parts, "set").groupBy("part").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    blocks = total.select("part", F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("n") / BLOCK_SHINGLES)).alias("k"))
+    rows = members.join(blocks, "part").select("part", "set", "label", "bits", "shingles", "k")
+
+    def search(part: dict) -> np.ndarray:
+        shingles = [np.frombuffer(s, np.uint64) for s in part["shingles"]]
+        return linked_in_part(part["set"], part["label"], part["bits"], shingles)
+
+    return _in_blocks(rows, "part", search)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -315,17 +402,19 @@ def _whole_sets(rows: DataFrame, docs: DataFrame, wanted: DataFrame) -> DataFram
 
 def _groups(docs: DataFrame, text: str) -> DataFrame:
     """``id, row, n, low``: each (id, text) of ``docs`` with its set size and the smallest id of its group."""
-    rows = keyed(docs, text)
-    scanned = stage(_scan(rows), "scan")
-    found = scanned.where("shingle IS NULL").select("id", "row", "n", "set")
+    spark, rows = docs.sparkSession, keyed(docs, text)
+    scanned, scan_folder = stage_to(_scan(rows), "scan")
+    found = stage(scanned.where("shingle IS NULL").select("id", "row", "n", "set"), "found")
     kept = scanned.where("shingle IS NOT NULL").select("set", "n", "shingle", "long")
     lists = stage(_short_lists(kept), "lists")
-    sets = stage(_whole_sets(rows, found, lists.select("set").distinct()), "sets")
+    delete_folder(spark, scan_folder)  # the lists stand for the shingles from here on
+    sets, sets_folder = stage_to(_whole_sets(rows, found, lists.select("set").distinct()), "sets")
     links = stage(_verified(_star_pairs(lists), sets), "links")
     labels = stage(connected_labels(links, left="a", right="b"), "labels")
     grouped = lists.join(labels.withColumnRenamed("id", "set"), "set", "left").withColumn("label", F.coalesce("label", "set"))
-    more = _verified(_cross_pairs(grouped, sets.select("set", "bits")), sets)
-    links = stage(links.unionByName(more), "links")
+    near = stage(_near_pairs(grouped, sets.select("set", "bits")), "near")
+    links = stage(links.unionByName(_cross_links(near, labels, sets)), "links")
+    delete_folder(spark, sets_folder)
     labels = stage(connected_labels(links, left="a", right="b"), "labels")
     # Groups of sets become groups of documents; copies share a set.
     grouped = found.where("set IS NOT NULL").join(labels.withColumnRenamed("id", "set"), "set", "left")

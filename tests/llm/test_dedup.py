@@ -282,3 +282,21 @@ def test_parts_in_many_blocks(table, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 900)
     rows = near_copies()
     assert found(ngram_join.similar_groups(table(rows)), *GROUP) == group_brute(rows)
+
+
+def test_a_set_is_sent_once_for_lists_of_the_same_sets(spark, monkeypatch):
+    """Ten lists of the sets 1 to 6, one of 3 and 9, one of a single group: eight rows, not 62."""
+    sent, in_blocks = [], ngram_join._in_blocks
+
+    def counted(rows, key, search):
+        sent.append(rows.count())
+        return in_blocks(rows, key, search)
+
+    monkeypatch.setattr(ngram_join, "_in_blocks", counted)
+    members = [(shingle, i) for shingle in range(10) for i in range(1, 7)] + [(10, 3), (10, 9), (11, 20), (11, 21)]
+    rows = [(shingle, i, 100, 20 if i > 9 else i) for shingle, i in members]
+    lists = spark.createDataFrame(rows, "shingle long, set long, n int, label long")
+    alike = bytes(ngram_join.parity_bits(np.arange(100, dtype=np.uint64) << np.uint64(20)))
+    bits = spark.createDataFrame([(i, alike) for i in (*range(1, 7), 9, 20, 21)], "set long, bits binary")
+    near = {tuple(p) for p in ngram_join._near_pairs(lists, bits).collect()}
+    assert near == {*((1, i) for i in range(2, 7)), (3, 9)} and sent == [8]

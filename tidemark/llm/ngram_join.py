@@ -14,7 +14,8 @@ overlap are retained.
 Only connected groups are asked for, so short lists are merged in rounds. First each set of a
 list is paired with the one of a similar size that has the most common shingles: linear work that
 connects copies. Then only lists that still hold several groups are searched for near sets of
-different groups, with exact bounds on sizes and on differing shingles. A list hands on which of
+different groups, with exact bounds on sizes and on differing shingles; lists with the same
+smallest set are made one, so that a set is sent once for them all. A list hands on which of
 its sets such pairs connect, a pair a set at most and not all pairs. The sets so connected over
 all lists meet once more, whole, and links are verified where they meet until no two groups are
 left that one could connect.
@@ -323,20 +324,32 @@ def _in_blocks(rows: DataFrame, key: str, search: Callable[[dict], np.ndarray])
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _merged_lists(lists: DataFrame) -> DataFrame:
+    """``list, set, n, label``: lists of several groups, those with the same smallest set made one.
+
+    Texts with passages in common share many lists of nearly the same sets, and would be sent and
+    compared in each of them. Set ids are hashes, so lists have the same smallest set about as
+    often as their sets are the same (min-hash): what is made one is hardly larger than its lists.
+    """
+    several = lists.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("set").alias("list"))
+    several = several.where("x < y").select("shingle", "list")
+    return lists.join(several, "shingle").select("list", "set", "n", "label").distinct()
+
+
 def _near_pairs(lists: DataFrame, bits: DataFrame) -> DataFrame:
     """Pairs that connect all sets of one list that are in different groups and may be similar.
 
     No more pairs than rows leave a list, so they are not the similar pairs themselves: those are
     among the sets that the pairs connect.
     """
-    several = lists.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m"))
-    several = several.where("x < y").select("shingle", F.ceil(F.col("m") / BLOCK).alias("k"))
-    rows = lists.join(several, "shingle").join(bits, "set").select("shingle", "set", "n", "label", "bits", "k")
+    merged = stage(_merged_lists(lists), "merged")
+    blocks = merged.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("k"))
+    rows = merged.join(blocks, "list").join(bits, "set").select("list", "set", "n", "label", "bits", "k")
 
     def search(part: dict) -> np.ndarray:
         return near_in_list(part["set"], part["n"].astype(np.int64), part["label"], part["bits"])
 
-    return _in_blocks(rows, "shingle", search)
+    return _in_blocks(rows, "list", search)
 
 
 def _cross_links(near: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:

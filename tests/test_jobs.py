@@ -6,6 +6,7 @@ import logging
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.functions.vectors import HashedEmbedder
 from tidemark.operators.drift import domain_run_stats, run_drift
 from tidemark.operators.rules import Rule, apply_rules
@@ -379,3 +380,31 @@ def test_jobs_leave_no_staged_folder(spark, tmp_path, lake):
     check_quality(lake)
     staged = tmp_path / "lake" / "_staging"
     assert not staged.exists() or not list(staged.iterdir())
+
+
+def test_batches_for_python_are_bounded_in_a_job(spark, tmp_path):
+    """Rows of 20,000 bytes: a job's workers get at most BATCH_BYTES at a time, not 10,000 rows."""
+    import pyarrow as pa
+
+    limit, rows = session._BATCH_LIMIT, spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("word "), 4000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    def handed():
+        return rows.mapInArrow(sizes, "rows long, bytes long").collect()
+
+    before = spark.conf.get(limit, None)
+    with session.staging(spark, str(tmp_path)):
+        batches = handed()
+    assert sum(b["rows"] for b in batches) == 2000 and len(batches) > 2
+    assert all(b["bytes"] < session.BATCH_BYTES + 100_000 for b in batches)
+    assert spark.conf.get(limit, None) == before is None
+    spark.conf.set(limit, "1m")
+    try:  # a limit of the session's own holds
+        with session.staging(spark, str(tmp_path)):
+            assert all(b["bytes"] < (1 << 20) + 100_000 for b in handed())
+        assert spark.conf.get(limit) == "1m"
+    finally:
+        spark.conf.unset(limit)

@@ -22,7 +22,7 @@ from tidemark.functions.text import clean_text, terms, words
 
 VECTOR = T.ArrayType(T.FloatType())
 #: Rows and terms that are counted at once within a batch; they bound the scratch arrays.
-SLICE_ROWS, SLICE_TERMS = 1024, 1 << 18
+SLICE_ROWS, SLICE_TERMS = 256, 1 << 16
 
 
 def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:

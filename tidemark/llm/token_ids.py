@@ -25,6 +25,7 @@ Nothing passes through the driver but the code (bounded by the vocabulary) and o
 from __future__ import annotations
 
 import heapq
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -66,6 +67,22 @@ def _byte_chars() -> dict[int, str]:
     return chars
 
 
+class _Pieces(dict):
+    """The ids of every piece seen, as bytes, so that a text's ids are one join of its pieces'."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.model, self.table = tokenizer.model, _byte_chars()
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= CACHE_PIECES:
+            self.clear()
+        mapped = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.table)
+        ids = [t.id for t in self.model.tokenize(mapped)]
+        found = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+
 class Encoder:
     """Ids of texts as the tokenizer gives them (``add_special_tokens=False``), with a worker cache.
 
@@ -99,32 +116,23 @@ class Encoder:
         contents = sorted(self.special_ids, key=len, reverse=True)
         self.specials = regex.compile("(" + "|".join(regex.escape(c) for c in contents) + ")") if contents else None
         self.split = regex.compile(BYTE_LEVEL_SPLIT)
-        self.chars, self.cache = _byte_chars(), {}
-
-    def _piece(self, piece: str) -> list[int]:
-        found = self.cache.get(piece)
-        if found is None:
-            if len(self.cache) >= CACHE_PIECES:
-                self.cache.clear()
-            mapped = "".join(self.chars[b] for b in piece.encode("utf-8", "surrogatepass"))
-            found = self.cache[piece] = [t.id for t in self.tokenizer.model.tokenize(mapped)]
-        return found
+        self.cache = _Pieces(self.tokenizer)
 
-    def encode(self, text: str) -> list[int]:
+    def encoded(self, text: str) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit integers."""
         if not self.cached:
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        parts = self.specials.split(text) if self.specials else [text]
-        ids: list[int] = []
-        for n, part in enumerate(parts):
+            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        special = any(content in text for content in self.special_ids)
+        ids = []
+        for n, part in enumerate(self.specials.split(text) if special else [text]):
             if n % 2:
-                ids.append(self.special_ids[part])
-                continue
-            for piece in self.split.findall(part):
-                ids.extend(self._piece(piece))
-        return ids
+                ids.append(struct.pack("<I", self.special_ids[part]))
+            else:
+                ids.extend(map(self.cache.__getitem__, self.split.findall(part)))
+        return b"".join(ids)
 
-    def encode_many(self, texts: list[str]) -> list[list[int]]:
-        return [self.encode(text) for text in texts]
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.encoded(text), "<u4").tolist()
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -199,8 +207,9 @@ class Code:
         size = max(lengths, default=0) + 1
         self.length = np.zeros(size, np.int64)
         self.value = np.zeros(size, np.int64)
-        self.symbol = np.full(1 << max_bits, -1, np.int64)
-        self.width = np.zeros(1 << max_bits, np.int64)
+        # The tables that decoding reads at random stay small, for the processor's caches.
+        self.symbol = np.full(1 << max_bits, -1, np.int32)
+        self.width = np.zeros(1 << max_bits, np.uint8)
         for i, (value, n) in canonical_code(lengths).items():
             self.length[i], self.value[i] = n, value
             first = value << (max_bits - n)
@@ -294,6 +303,7 @@ def _tokenized(docs: DataFrame, tokenizer_json: str, end_id: int | None, wide: b
         .select(F.spark_partition_id().alias("part"), "doc_id", "text")
     )
     dtype = np.dtype("<u4") if wide else np.dtype("<u2")
+    end = b"" if end_id is None else struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(shared.value)
@@ -301,13 +311,12 @@ def _tokenized(docs: DataFrame, tokenizer_json: str, end_id: int | None, wide: b
         for batch in batches:
             parts_, ids_, texts = (batch.column(i).to_pylist() for i in range(3))
             ords, starts, counts, blobs = [], [], [], []
-            for ids in encoder.encode_many(texts):
-                if end_id is not None:
-                    ids.append(end_id)
+            for blob in map(encoder.encoded, texts):
+                ids = np.frombuffer(blob + end, "<u4")
                 ords.append(ord_)
                 starts.append(local)
                 counts.append(len(ids))
-                blobs.append(np.asarray(ids, dtype).tobytes())
+                blobs.append(ids.astype(dtype, copy=False).tobytes())
                 ord_ += 1
                 local += len(ids)
             yield pa.RecordBatch.from_pydict(

@@ -77,6 +77,26 @@ def test_encoder_equals_tokenizer():
         assert encoder.encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_texts_split_as_all_others():
+    """Whichever pattern splits a text, the pieces and the ids are the library's; ids are cached as bytes."""
+    with open(TOKENIZER, encoding="utf-8") as file:
+        encoder = token_ids.Encoder(file.read())
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    rng = random.Random(11)
+    plain = "aZé ÿÀ×÷09'stvemrld \n\t -_.,!¡~’“—…"
+    plain = [c for c in plain if token_ids.PLAIN_TEXT.fullmatch(c)]
+    others = [*plain, "²", "½", "ß", "\x1c", "\x85", "\xa0", "\u3000", "٣", "漢", "\r", "\x7f", "😀", "<|endoftext|>"]
+    for n in range(400):
+        text = "".join(rng.choices(plain if n % 2 else others, k=rng.randrange(60)))
+        if n % 2:
+            assert token_ids.PLAIN_TEXT.fullmatch(text)
+            assert token_ids.PLAIN_SPLIT.findall(text) == encoder.split.findall(text)
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert encoder.encode(text) == want
+        assert encoder.encoded(text) == np.array(want, "<u4").tobytes()
+    assert not token_ids.PLAIN_TEXT.fullmatch("a²") and all(isinstance(v, bytes) for v in encoder.cache.values())
+
+
 # ---------------------------------------------------------------- 13: lexical search
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")

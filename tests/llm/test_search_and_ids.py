@@ -68,6 +68,19 @@ def test_huffman_codes_and_blocks():
     assert token_ids.code_lengths({}) == {}
 
 
+def test_code_tables_are_the_canonical_code():
+    rng = random.Random(6)
+    for counts in ({}, {7: 3}, {i * 3: rng.choice([1, 2, 5, 1000, 10**9]) for i in range(700)}):
+        lengths = token_ids.code_lengths(counts, max_bits=12)
+        code = token_ids.Code(lengths, max_bits=12)
+        symbol = np.full(1 << 12, -1)
+        for i, (value, n) in token_ids.canonical_code(lengths).items():
+            assert (code.value[i], code.length[i]) == (value, n)
+            symbol[value << (12 - n) : (value + 1) << (12 - n)] = i
+        assert (code.symbol == symbol).all()
+        assert all(code.width[k] == (code.length[i] if i >= 0 else 0) for k, i in enumerate(symbol))
+
+
 def test_encoder_equals_tokenizer():
     with open(TOKENIZER, encoding="utf-8") as file:
         encoder = token_ids.Encoder(file.read())

@@ -222,11 +222,14 @@ class Code:
         # The tables that decoding reads at random stay small, for the processor's caches.
         self.symbol = np.full(1 << max_bits, -1, np.int32)
         self.width = np.zeros(1 << max_bits, np.uint8)
-        for i, (value, n) in canonical_code(lengths).items():
-            self.length[i], self.value[i] = n, value
-            first = value << (max_bits - n)
-            self.symbol[first : first + (1 << (max_bits - n))] = i
-            self.width[first : first + (1 << (max_bits - n))] = n
+        # As canonical_code: ids by (length, id), each after the span of table entries of the one before.
+        ids, n = np.fromiter(lengths, np.int64, len(lengths)), np.fromiter(lengths.values(), np.int64, len(lengths))
+        order = np.lexsort((ids, n))
+        ids, n = ids[order], n[order]
+        spans = np.int64(1) << (max_bits - n)
+        ends = np.cumsum(spans)
+        self.length[ids], self.value[ids] = n, (ends - spans) >> (max_bits - n)
+        self.symbol[: spans.sum()], self.width[: spans.sum()] = np.repeat(ids, spans), np.repeat(n, spans)
 
 
 def encode_block(ids: np.ndarray, code: Code) -> tuple[bytes, np.ndarray]:

@@ -2,8 +2,10 @@
 
 import hashlib
 import itertools
+import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,7 +13,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, ngram_join, substring_dedup, suffix_dedup
+from tidemark.llm import exact_dedup, ngram_join, substring_dedup, suffix_dedup, windows
+
+from .conftest import prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -239,6 +243,48 @@ def test_byte_windows_of_any_texts(table, texts):
     assert got == bytes_brute(rows, 8)
 
 
+def test_suffixes_take_little_disk(table, spark, monkeypatch):
+    """A suffix is written once per level that takes it in, with its place, and no shuffle outlives its step."""
+    rng = random.Random(11)
+    rows = [(i, rng.randbytes(1500).hex()) for i in range(400)]
+    suffixes = len(windows.find_runs([np.frombuffer(t.encode(), np.uint8) for _, t in rows], 100, 48))
+    written, write = [], suffix_dedup.SuffixFamily._write
+
+    def sized(self, *args):
+        name = write(self, *args)
+        files = Path(self.folder.removeprefix("file:")) / name
+        written.append(sum(f.stat().st_size for f in files.rglob("*.parquet")))
+        return name
+
+    def shuffle_files():
+        held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in held.mkString("|").split("|") if "/shuffle_" in f}
+
+    monkeypatch.setattr(suffix_dedup.SuffixFamily, "_write", sized)
+    docs, before = table(rows).localCheckpoint(), shuffle_files()
+    got = suffix_dedup.remove_repeats(docs, batches=2)
+    assert not shuffle_files() - before
+    assert sum(written) < 40 * suffixes
+    assert got.where("n_removed = 0 AND n_bytes = 3000").count() == 400
+
+
+def test_pieces_meet(table, monkeypatch):
+    """Copies, near copies and shared passages in different pieces, parts, batches and levels."""
+    for name, value in (("TEXT_AT_ONCE", 900), ("WINDOWS_AT_ONCE", 64), ("LONG_IN_BATCH", 3)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rng = random.Random(12)
+    base, line = prose(21, 60), prose(22, 25)
+    rows = []
+    for i in range(40):
+        text = base if i % 5 == 0 else " ".join(prose(i + 100, 8) for _ in range(2)) + line + prose(i + 200, 12)
+        at = rng.randrange(len(text))
+        rows.append((i * 17 % 40, text[:at] + "#" * (i % 3) + text[at:]))
+    rows += rows[:3]
+    got = suffix_dedup.remove_repeats(table(rows))
+    got = sorted(((*r[:4], bytes(r[4])) for r in got.select(*BYTES).collect()), key=repr)
+    assert got == bytes_brute(rows)
+
+
 def many_near(groups=40, size=8):
     """Sets around one text, each group within reach of its own centre and near all other groups."""
     rng = np.random.default_rng(5)

@@ -142,14 +142,19 @@ def unpacked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values >> 32, values & 0xFFFFFFFF
 
 
-def single_windows(rows: DataFrame, runs: DataFrame, symbols: Callable[[], Symbols], width: int) -> DataFrame:
-    """``id, row, start, window, gram`` of each window of ``runs`` (id, row, start, count, gram)."""
+def texts_of_runs(rows: DataFrame, runs: DataFrame) -> DataFrame:
+    """``id, row, text, p, grams``: texts with their ``runs`` (id, row, start, count, gram), as lists."""
     wanted = runs.groupBy("id", "row").agg(
         F.collect_list(F.struct(packed(F.col("start"), F.col("count")).alias("p"), "gram")).alias("runs")
     )
     wanted = wanted.select("id", "row", F.col("runs.p").alias("p"), F.col("runs.gram").alias("grams"))
     texts = maybe_touched(rows, wanted.select("id")).dropDuplicates(["id", "row"])
-    joined = wanted.join(texts, ["id", "row"]).select("id", "row", "text", "p", "grams")
+    return wanted.join(texts, ["id", "row"]).select("id", "row", "text", "p", "grams")
+
+
+def single_windows(rows: DataFrame, runs: DataFrame, symbols: Callable[[], Symbols], width: int) -> DataFrame:
+    """``id, row, start, window, gram`` of each window of ``runs`` (id, row, start, count, gram)."""
+    joined = texts_of_runs(rows, runs)
 
     def hash_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = symbols()

@@ -1,14 +1,17 @@
 """Remove byte strings that occur earlier, with a logarithmic family of suffix arrays.
 
 Documents come in batches of rising ids. A batch becomes a suffix array: suffixes in the order of
-fingerprints of what they start with, bucketed by the first fingerprint. Only suffixes that an
-anchor selects are kept (``tidemark.llm.windows``): every window of 100 bytes has one anchor, and
+fingerprints of what they start with, dealt to parts by the first fingerprint. Only suffixes that
+an anchor selects are kept (``tidemark.llm.windows``): every window of 100 bytes has one anchor, and
 equal windows have it at the same place, so no match is lost and one suffix stands for some
-thirty. The batch is merge-scanned against the levels of the family, bucket by bucket: suffixes
+thirty. The batch is merge-scanned against the levels of the family, part by part: suffixes
 that match a level, or an earlier suffix of the batch, in all their windows are repeats; those
 that share only their first bytes are compared window by window. New suffixes enter as a level
 of their own, and before the next batch levels of equal size merge, so there are at most a
 logarithmic number of levels and each suffix is rewritten that often.
+
+Arrays move and rest as a blob per part, not as a row per suffix: Spark deals, shuffles and joins
+the parts, and a task sorts and compares one part at a time with numpy.
 """
 
 from __future__ import annotations
@@ -17,14 +20,17 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import repeats, windows
 from tidemark.llm.common import new_folder, stage
+from tidemark.session import bounded_batches, brief_shuffles
 
 #: Bytes in a window, and in the string that anchors it.
 WINDOW = 100
@@ -32,72 +38,197 @@ GRAM = 48
 #: Batches that a whole table is dealt to. Each is scanned against all levels before it; levels
 #: merge from the third batch on.
 BATCHES = 4
-#: A gram with more different suffixes in one Arrow batch goes to single windows at once.
+#: A gram with more different suffixes in one piece of a batch goes to single windows at once.
 LONG_IN_BATCH = 64
-
-_RUN = "slot long, whole long, id long, row long, start int, count int, gram long, sure boolean"
-_ENDS = ["id", "row", "start", "count", "gram"]
+#: Parts of an array per shuffle partition; a task holds one part at a time.
+PARTS = 4
+#: Bytes of text whose suffixes a task selects at a time, and single windows that it hashes before
+#: it hands them on; one document at least.
+TEXT_AT_ONCE = 4 << 20
+WINDOWS_AT_ONCE = 1 << 17
+
+#: One suffix of an array: its slot, the hash of all that its windows cover, what turns the slot
+#: into the gram, its place, and how many windows it stands for. With no window it is a mark: the
+#: slot's gram is shared. With less than none it is a repeat for sure, wherever it is sent.
+_ENTRY = np.dtype(
+    [("slot", "<u8"), ("whole", "<u8"), ("shift", "<u8"), ("id", "<i8"), ("row", "<i8"), ("start", "<i4"), ("count", "<i4")]
+)
+_PLACE = ("id", "row", "start")
 
 
 def byte_symbols() -> repeats.Symbols:
     return lambda texts: [np.frombuffer(t.encode(), np.uint8) for t in texts]
 
 
-def _later_in_batch(runs: windows.Runs, ids: np.ndarray, texts: np.ndarray) -> np.ndarray:
-    """Which runs equal one of the batch that stands earlier; the same place is not earlier."""
-    order = np.lexsort((runs.start, texts, ids, runs.whole, runs.gram))
+def to_blob(entries: np.ndarray) -> bytes:
+    """First bytes first, then second bytes and so on, so that what entries share compresses."""
+    return np.ascontiguousarray(entries).view(np.uint8).reshape(-1, _ENTRY.itemsize).T.tobytes()
+
+
+def from_blob(blob: pa.Scalar) -> np.ndarray:
+    flat = np.frombuffer(blob.as_buffer(), np.uint8).reshape(_ENTRY.itemsize, -1) if blob.is_valid else np.zeros((_ENTRY.itemsize, 0), np.uint8)
+    return np.ascontiguousarray(flat.T).view(_ENTRY).reshape(-1)
 
-    def steps(*columns: np.ndarray) -> np.ndarray:
-        new = np.zeros(len(order), bool)
-        for column in columns:
-            new[1:] |= column[order][1:] != column[order][:-1]
-        return new
 
-    kinds = np.cumsum(steps(runs.gram, runs.whole))
-    places = np.cumsum(steps(runs.gram, runs.whole, ids, texts, runs.start))
-    first = np.searchsorted(kinds, kinds)
-    later = np.zeros(len(order), bool)
-    later[order] = places > places[first]
-    return later
+def _several(values: np.ndarray) -> np.ndarray:
+    """Which values occur more than once."""
+    order = np.argsort(values)
+    same = values[order[1:]] == values[order[:-1]]
+    out = np.zeros(len(values), bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
 
 
-def suffixes(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """The selected suffixes of a batch (``_RUN``).
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among ``known``, which is sorted."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    at = np.searchsorted(known, values)
+    at[at == len(known)] = 0
+    return known[at] == values
 
-    ``slot`` is the fingerprint of the gram. Where many suffixes of one Arrow batch share it,
-    each gets a slot of its own and keeps its gram apart; a row without an id then tells the
-    slot that its gram is shared. Of equal suffixes of one Arrow batch those at later places are
-    repeats for sure: they get slots of their own as well, so copies don't pile up in one.
+
+def _kinds(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries are the first of their slot and hash, and which stand later than that.
+
+    An entry at the place of the first is neither.
+    """
+    first, later = np.ones(len(entries), bool), np.zeros(len(entries), bool)
+    some = np.flatnonzero(_several(entries["slot"]))
+    some = some[np.lexsort([entries[c][some] for c in (*reversed(_PLACE), "whole", "slot")])]
+    if not len(some):
+        return first, later
+    own = entries[some]
+    new = np.ones(len(own), bool)
+    new[1:] = (own["slot"][1:] != own["slot"][:-1]) | (own["whole"][1:] != own["whole"][:-1])
+    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+    first[some] = new
+    later[some] = reduce(np.logical_or, (own[c] != own[c][lead] for c in _PLACE))
+    return first, later
+
+
+def _chained(entries: np.ndarray) -> np.ndarray:
+    """Entries in the order of their places; those that follow each other without a gap are one."""
+    if not len(entries):
+        return entries
+    ends = entries["start"] + entries["count"]
+    new = np.ones(len(entries), bool)
+    new[1:] = reduce(np.logical_or, (entries[c][1:] != entries[c][:-1] for c in ("id", "row"))) | (entries["start"][1:] != ends[:-1])
+    at = np.flatnonzero(new)
+    out = entries[at]
+    out["count"] = ends[np.append(at[1:], len(entries)) - 1] - out["start"]
+    return out
+
+
+def _dealt(entries: np.ndarray, sure: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """A row ``part, blob`` for each part that the entries and the sure repeats are dealt to."""
+    sure = _chained(sure)
+    # Spread, so that copies don't pile up in one part.
+    sure["slot"] = windows.mixed(sure["whole"] + np.arange(len(sure), dtype=np.uint64))
+    sure["whole"], sure["shift"], sure["count"] = 0, 0, -sure["count"]
+    entries = np.concatenate([entries, sure])
+    if not len(entries):
+        return
+    part = ((entries["slot"] >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    entries, part = entries[order], part[order]
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    blobs = [to_blob(entries[a:b]) for a, b in pairwise(cuts)]
+    yield pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]]), pa.array(blobs, pa.binary())], names=["part", "blob"])
+
+
+def _pieces(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """A batch cut where its texts reach another ``most`` bytes."""
+    size = np.cumsum(pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(size // most)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, b - a) for a, b in pairwise(cuts))
+
+
+def suffixes(rows: DataFrame, window: int, gram: int, parts: int) -> DataFrame:
+    """The selected suffixes of a batch, dealt to parts (``part, blob``).
+
+    ``slot`` is the fingerprint of the gram. Where many suffixes of one piece of a batch share it,
+    each gets a slot of its own and keeps its gram apart; a mark then tells the slot that its
+    gram is shared. Of equal suffixes of one piece those at later places are repeats for sure.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = byte_symbols()
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in _pieces(whole, TEXT_AT_ONCE)):
             runs = windows.find_runs(read(batch.column(2).to_pylist()), window, gram)
-            ids, texts = (batch.column(i).to_numpy()[runs.doc] for i in (0, 1))
-            sure = _later_in_batch(runs, ids, texts)
-            grams, times = np.unique(runs.gram[~sure], return_counts=True)
-            shared = grams[times > LONG_IN_BATCH]
-            long = np.isin(runs.gram, shared)
-            slot = np.where(long, windows.mixed(runs.gram ^ runs.whole), runs.gram)
-            slot = np.where(sure, windows.mixed(runs.whole + np.arange(len(runs), dtype=np.uint64)), slot)
-            at, lost = pa.array(runs.doc), pa.nulls(len(shared), pa.int64())
-            whole = [
-                pa.array(slot.view(np.int64)),
-                pa.array(runs.whole.view(np.int64)),
-                batch.column(0).take(at),
-                batch.column(1).take(at),
-                pa.array(runs.start).cast(pa.int32()),
-                pa.array(runs.count).cast(pa.int32()),
-                pa.array(runs.gram.view(np.int64), mask=~long),
-                pa.array(sure),
-            ]
-            marks = [pa.array(shared.view(np.int64)), lost, lost, lost, lost.cast(pa.int32()), lost.cast(pa.int32()), lost, lost.cast(pa.bool_())]
-            for columns in (whole, marks):
-                if len(columns[0]):
-                    yield pa.RecordBatch.from_arrays(columns, names=["slot", "whole", "id", "row", "start", "count", "gram", "sure"])
-
-    return rows.mapInArrow(scan, _RUN)
+            entries = np.zeros(len(runs), _ENTRY)
+            entries["id"], entries["row"] = (batch.column(i).to_numpy()[runs.doc] for i in (0, 1))
+            entries["slot"], entries["whole"], entries["start"], entries["count"] = runs.gram, runs.whole, runs.start, runs.count
+            _, later = _kinds(entries)
+            sure, entries = entries[later], entries[~later]
+            grams, times = np.unique(entries["slot"], return_counts=True)
+            marks = np.zeros(int((times > LONG_IN_BATCH).sum()), _ENTRY)
+            marks["slot"] = grams[times > LONG_IN_BATCH]
+            long = _among(entries["slot"], marks["slot"])
+            own = entries["slot"][long]
+            entries["slot"][long] = windows.mixed(own ^ entries["whole"][long])
+            entries["shift"][long] = own ^ entries["slot"][long]
+            yield from _dealt(np.concatenate([entries, marks]), sure, parts)
+
+    return rows.mapInArrow(scan, "part int, blob binary")
+
+
+def _merge_scan(new: np.ndarray, levels: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A part of a batch against the same part of the levels: what enters, repeats, unsure ones.
+
+    Levels are sorted by slot and hold earlier documents. The unsure ones are of the batch and of
+    the levels; one of a level is told when its slot is first met by another.
+    """
+    sure = new[new["count"] < 0]
+    sure["count"] *= -1
+    marks = np.unique(new["slot"][new["count"] == 0])
+    new = new[new["count"] > 0]
+    met = np.unique(np.concatenate([new["slot"], marks]))
+    old = np.concatenate([np.zeros(0, _ENTRY), *(x[_among(x["slot"], met)] for x in levels)])
+    old_marks = np.unique(old["slot"][old["count"] == 0])
+    old = old[old["count"] > 0]
+    every = np.concatenate([old, new])
+    is_new = np.arange(len(every)) >= len(old)
+    first, later = _kinds(every)
+    kinds, old_kinds = every[first], first & ~is_new
+    shared = _among(every["slot"], np.union1d(marks, old_marks))
+    shared |= _among(every["slot"], np.unique(kinds["slot"][_several(kinds["slot"])]))
+    fresh = first & is_new
+    unsure = fresh & (shared | (every["shift"] != 0))
+    told = np.union1d(old_marks, np.unique(every["slot"][old_kinds][_several(every["slot"][old_kinds])]))
+    touched = np.union1d(np.unique(every["slot"][unsure]), marks)
+    unsure |= old_kinds & _among(every["slot"], touched) & ~_among(every["slot"], told) & (every["shift"] == 0)
+    lasting = np.zeros(len(marks), _ENTRY)
+    lasting["slot"] = marks
+    level = np.concatenate([every[fresh], lasting])
+    again = np.concatenate([every[later & is_new], sure])
+    ends = every[unsure]
+    ends["slot"] ^= ends["shift"]
+    for part in (again, ends):
+        part["whole"], part["shift"] = 0, 0
+    again["slot"] = 0
+    return _by_slot(level), again, ends
+
+
+def _by_slot(entries: np.ndarray) -> np.ndarray:
+    return entries[np.argsort(entries["slot"])]
+
+
+def _parts_of(dealt: DataFrame, buckets: int) -> DataFrame:
+    """``part, blobs``: all that was dealt to a part."""
+    return dealt.repartition(buckets, "part").groupBy("part").agg(F.collect_list("blob").alias("blobs"))
+
+
+def _whole_part(blobs: pa.Scalar) -> np.ndarray:
+    return np.concatenate([from_blob(b) for b in blobs])
+
+
+def _interval_rows(entries: np.ndarray, window: int) -> pa.RecordBatch:
+    """``id, row, i`` (:func:`repeats.packed`) of what repeated suffixes cover."""
+    start = entries["start"].astype(np.int64)
+    i = (start << 32) | (start + entries["count"] + (window - 1))
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (entries["id"], entries["row"], i)], names=["id", "row", "i"])
 
 
 @dataclass
@@ -108,7 +239,7 @@ class Level:
 
 @dataclass
 class SuffixFamily:
-    """The levels so far. Tables are bucketed by slot, so scans and merges shuffle nothing."""
+    """The levels so far. Tables are bucketed by part, so scans and merges shuffle no level."""
 
     spark: SparkSession
     folder: str
@@ -119,8 +250,8 @@ class SuffixFamily:
         table = f"suffixes_{name}_{uuid.uuid4().hex}"
         (
             rows.write.format("parquet")
-            .bucketBy(self.buckets, "slot")
-            .sortBy("slot", "whole")
+            .bucketBy(self.buckets, "part")
+            .sortBy("part")
             .option("path", f"{self.folder}/{table}")
             .saveAsTable(table)
         )
@@ -131,74 +262,120 @@ class SuffixFamily:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{table}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def _level(self, level: Level, name: str) -> DataFrame:
+        return self.spark.table(level.table).select("part", F.col("level").alias(name))
+
     def merge_equal(self) -> None:
         """Merge the two last levels while they hold equally many batches."""
+
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part, *levels in zip(*batch.columns, strict=True):
+                    blob = to_blob(_by_slot(np.concatenate([from_blob(x) for x in levels])))
+                    yield pa.RecordBatch.from_arrays([pa.array([part.as_py()], pa.int32()), pa.array([blob], pa.binary())], names=["part", "level"])
+
         while len(self.levels) > 1 and self.levels[-1].batches == self.levels[-2].batches:
-            a, b = self.levels.pop(), self.levels.pop()
-            rows = self.spark.table(b.table).unionAll(self.spark.table(a.table))
-            self.levels.append(Level(self._write(rows, "merged"), a.batches + b.batches))
+            a, b = self.levels[-1], self.levels[-2]
+            both = self._level(b, "b").join(self._level(a, "a"), "part", "full").select("part", "b", "a")
+            merged = Level(self._write(both.mapInArrow(merge, "part int, level binary"), "merged"), a.batches + b.batches)
+            self.levels[-2:] = [merged]
             self._drop(a.table)
             self._drop(b.table)
 
     def add(self, rows: DataFrame, window: int, gram: int) -> tuple[DataFrame, DataFrame]:
         """Scan a batch of later documents against the levels and take it in.
 
-        Returns repeats (``id, row, start, count``), whose windows all start earlier too, and
+        Returns what repeats cover (``id, row, i``), whose windows all start earlier too, and
         unsure suffixes (``id, row, start, count, gram``) of the batch and of the levels.
         """
         self.merge_equal()
-        spark = self.spark
-        batch = suffixes(rows, window, gram).repartition(self.buckets, "slot")
-        table = self._write(batch, "batch")
-        new = spark.table(table).where("NOT coalesce(sure, false)")
-        place = F.struct("id", "row", "start")
-        kinds = new.groupBy("slot", "whole").agg(
-            F.min(F.when(F.col("id").isNotNull(), F.struct("id", "row", "start", "count", "gram"))).alias("first"),
-            F.max(F.col("id").isNull()).alias("mark"),
-        )
-        several = new.groupBy("slot").agg(
-            (F.min("whole") < F.max("whole")).alias("several"), F.max(F.col("id").isNull()).alias("marked")
-        )
-        kinds = kinds.join(several, "slot")
-        shared = F.coalesce(F.col("several"), F.lit(False)) | F.col("marked") | F.col("first.gram").isNotNull()
-        seen = F.lit(False)
-        for i, level in enumerate(self.levels):
-            known = spark.table(level.table)
-            slots = known.groupBy("slot").agg(F.lit(True).alias(f"slot_{i}"))
-            wholes = known.groupBy("slot", "whole").agg(F.lit(True).alias(f"whole_{i}"))
-            kinds = kinds.join(slots, "slot", "left").join(wholes, ["slot", "whole"], "left")
-            seen = seen | F.col(f"whole_{i}").isNotNull()
-            shared = shared | F.col(f"slot_{i}").isNotNull()
-        judged = kinds.select("slot", "whole", "first", seen.alias("seen"), shared.alias("shared"))
-        scanned = self._write(judged, "scanned")
-        judged = spark.table(scanned)
-        again = (
-            new.where("id IS NOT NULL")
-            .join(judged, ["slot", "whole"])
-            .where(F.col("seen") | (F.col("first.id") < F.col("id")) | (F.struct("first.id", "first.row", "first.start") < place))
-            .select("id", "row", "start", "count")
-        )
-        sure = spark.table(table).where("sure").select("id", "row", "start", "count")
-        found = stage(again.unionByName(sure), "repeats")
-        fresh = judged.where("NOT seen")
-        own = fresh.where("shared AND first IS NOT NULL").select("slot", "first.*")
-        unsure = [own]
-        touched = fresh.where("shared").select("slot").distinct()
-        for level in self.levels:
-            unsure.append(spark.table(level.table).where("id IS NOT NULL").join(touched, "slot", "left_semi").select("slot", *_ENDS))
-        open_ends = [u.select("id", "row", "start", "count", F.coalesce("gram", "slot").alias("gram")) for u in unsure]
-        unsure_rows = stage(reduce(DataFrame.unionByName, open_ends), "unsure")
-        entries = fresh.select("slot", "whole", "first.*").select("slot", "whole", *_ENDS)
-        self.levels.append(Level(self._write(entries, "level"), 1))
-        self._drop(scanned)
-        self._drop(table)
-        return found, unsure_rows
+        parts = _parts_of(suffixes(rows, window, gram, self.buckets * PARTS), self.buckets)
+        names = [f"level_{i}" for i in range(len(self.levels))]
+        for level, name in zip(self.levels, names, strict=True):
+            parts = parts.join(self._level(level, name), "part", "left")
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part, blobs, *levels in zip(*batch.columns, strict=True):
+                    found = _merge_scan(_whole_part(blobs), [from_blob(x) for x in levels])
+                    out = [pa.array([to_blob(x)], pa.binary()) for x in found]
+                    yield pa.RecordBatch.from_arrays([pa.array([part.as_py()], pa.int32()), *out], names=["part", "level", "again", "unsure"])
+
+        def again_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for blob in batch.column(0):
+                    yield _interval_rows(from_blob(blob), window)
+
+        def unsure_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for blob in batch.column(0):
+                    x = from_blob(blob)
+                    columns = [pa.array(c) for c in (x["id"], x["row"], x["start"], x["count"], x["slot"].view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "start", "count", "gram"])
+
+        scanned = parts.select("part", "blobs", *names).mapInArrow(scan, "part int, level binary, again binary, unsure binary")
+        table = self._write(scanned, "level")
+        self.levels.append(Level(table, 1))
+        again = self.spark.table(table).select("again").mapInArrow(again_rows, "id long, row long, i long")
+        unsure = self.spark.table(table).select("unsure").mapInArrow(unsure_rows, "id long, row long, start int, count int, gram long")
+        return stage(again, "repeats"), stage(unsure, "unsure")
 
     def close(self) -> None:
         while self.levels:
             self._drop(self.levels.pop().table)
 
 
+def _window_entries(texts: DataFrame, window: int, parts: int) -> DataFrame:
+    """Each window of the runs of each text, dealt to parts (``part, blob``) by its hash.
+
+    Of equal windows hashed together those at later places are repeats for sure.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = byte_symbols()
+        held: list[np.ndarray] = []
+
+        def hand_on() -> Iterator[pa.RecordBatch]:
+            entries = np.concatenate([np.zeros(0, _ENTRY), *held])
+            held.clear()
+            _, later = _kinds(entries)
+            sure = entries[later]
+            yield from _dealt(entries[~later], sure[np.lexsort([sure[c] for c in reversed(_PLACE)])], parts)
+
+        for batch in batches:
+            for doc, row, text, lists, grams in zip(*batch.columns, strict=True):
+                starts, counts = repeats.unpacked(np.array(lists.values))
+                order = np.argsort(starts)
+                starts, counts, gram = starts[order], counts[order], np.array(grams.values)[order]
+                sequence = read([text.as_py()])[0]
+                slices = np.cumsum(counts) // WINDOWS_AT_ONCE
+                for some in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(slices)) + 1):
+                    base, last = starts[some[0]], some[-1]
+                    cut = sequence[base : starts[last] + counts[last] + window - 1]
+                    at, hashes = windows.window_hashes(cut, starts[some] - base, counts[some], window)
+                    entries = np.zeros(len(at), _ENTRY)
+                    entries["id"], entries["row"], entries["start"], entries["count"] = doc.as_py(), row.as_py(), at + base, 1
+                    entries["slot"], entries["whole"] = hashes, np.repeat(gram[some], counts[some]).view(np.uint64)
+                    held.append(entries)
+                    if sum(map(len, held)) >= WINDOWS_AT_ONCE:
+                        yield from hand_on()
+        yield from hand_on()
+
+    return texts.mapInArrow(scan, "part int, blob binary")
+
+
+def _later_windows(texts: DataFrame, window: int, buckets: int) -> DataFrame:
+    """``id, row, i`` of the windows that an earlier place has too."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blobs in batch.column(1):
+                _, again, _ = _merge_scan(_whole_part(blobs), [])
+                yield _interval_rows(again, window)
+
+    return _parts_of(_window_entries(texts, window, buckets * PARTS), buckets).mapInArrow(scan, "id long, row long, i long")
+
+
 def _bounds(rows: DataFrame, batches: int) -> list[int]:
     """Largest ids of all batches but the last."""
     parts = [i / batches for i in range(1, batches)]
@@ -222,27 +399,33 @@ def remove_repeats(
     Strings are equal when two 64-bit Rabin-Karp hashes are equal (of the string and its anchor).
     """
     spark = docs.sparkSession
-    rows = repeats.keyed(docs, text, sparse=True)
-    family = SuffixFamily(spark, new_folder(spark, "suffixes"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    with brief_shuffles(spark), bounded_batches(spark):
+        rows = repeats.keyed(docs, text, sparse=True)
+        intervals = _found(rows, window, gram, batches)
+    return _cut(rows, intervals)
+
+
+def _found(rows: DataFrame, window: int, gram: int, batches: int) -> DataFrame:
+    """``id, row, intervals``: bytes covered by windows that an earlier place has too."""
+    spark = rows.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    family = SuffixFamily(spark, new_folder(spark, "suffixes"), buckets)
     cuts = [None, *_bounds(rows, batches), None]
     found, unsure = [], []
-    for low, high in zip(cuts, cuts[1:], strict=False):
-        part = rows
-        if low is not None:
-            part = part.where(F.col("id") > low)
-        if high is not None:
-            part = part.where(F.col("id") <= high)
-        again, shared = family.add(part, window, gram)
-        found.append(again)
-        unsure.append(shared)
-    family.close()
-    open_runs = stage(reduce(DataFrame.unionByName, unsure).distinct(), "unsure")
-    single = stage(repeats.single_windows(rows, open_runs, byte_symbols, window), "single")
-    whole = reduce(DataFrame.unionByName, found).select(
-        "id", "row", repeats.packed(F.col("start"), F.col("start") + F.col("count") + (window - 1)).alias("i")
-    )
-    intervals = repeats.gathered(whole, repeats.later_windows(single, window, same_document=True))
-    return _cut(rows, stage(intervals, "found"))
+    try:
+        for low, high in pairwise(cuts):
+            part = rows
+            if low is not None:
+                part = part.where(F.col("id") > low)
+            if high is not None:
+                part = part.where(F.col("id") <= high)
+            again, shared = family.add(part, window, gram)
+            found.append(again)
+            unsure.append(shared)
+    finally:
+        family.close()
+    texts = repeats.texts_of_runs(rows, reduce(DataFrame.unionByName, unsure))
+    return stage(repeats.gathered(*found, _later_windows(texts, window, buckets)), "found")
 
 
 def _cut(rows: DataFrame, intervals: DataFrame) -> DataFrame:

@@ -62,12 +62,17 @@ def byte_symbols() -> repeats.Symbols:
 
 def to_blob(entries: np.ndarray) -> bytes:
     """First bytes first, then second bytes and so on, so that what entries share compresses."""
-    return np.ascontiguousarray(entries).view(np.uint8).reshape(-1, _ENTRY.itemsize).T.tobytes()
+    flat = np.ascontiguousarray(entries).view(np.uint8).reshape(-1, _ENTRY.itemsize).T.tobytes()
+    return len(flat).to_bytes(8, "little") + pa.compress(flat, codec="lz4_raw", asbytes=True) if flat else b""
 
 
 def from_blob(blob: pa.Scalar) -> np.ndarray:
-    flat = np.frombuffer(blob.as_buffer(), np.uint8).reshape(_ENTRY.itemsize, -1) if blob.is_valid else np.zeros((_ENTRY.itemsize, 0), np.uint8)
-    return np.ascontiguousarray(flat.T).view(_ENTRY).reshape(-1)
+    body = blob.as_buffer() if blob.is_valid else b""
+    if not len(body):
+        return np.zeros(0, _ENTRY)
+    size = int.from_bytes(body[:8], "little")
+    flat = np.frombuffer(pa.decompress(body[8:], decompressed_size=size, codec="lz4_raw"), np.uint8)
+    return np.ascontiguousarray(flat.reshape(_ENTRY.itemsize, -1).T).view(_ENTRY).reshape(-1)
 
 
 def _several(values: np.ndarray) -> np.ndarray:

@@ -1,11 +1,16 @@
 """Vectors, chunks, similarity joins and clusters against brute force."""
 
+import math
+from collections import Counter
+
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from checks import vector_queries
+from compare import compare
 from tidemark.functions.vectors import HashedEmbedder, ModelEmbedder, _row_slices, checked_vector, l2_normalize
 from tidemark.operators import retrieval, similarity
 from tidemark.operators.chunking import chunk_settings, chunk_windows
@@ -167,6 +172,51 @@ def components(pairs):
     return {x: find(x) for x in parent}
 
 
+def odd_rows(n, dim, seed):
+    """(id, vector) rows: a third hold one vector, some ids and some whole rows come twice, some lack a value."""
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=(n // 8, dim))
+    vectors = unit(base[rng.integers(0, len(base), n)] + rng.normal(scale=0.4, size=(n, dim)))
+    vectors[n // 3 : 2 * n // 3] = vectors[n // 3 - 1]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    rows += [(i, rows[i + 1][1]) for i in range(0, n - 1, 9)] + rows[::11]
+    return rows + [(n, None), (n + 1, [0.0] * dim), (n + 2, [math.nan] * dim), (None, rows[0][1])]
+
+
+def every_pair(rows, threshold):
+    rows = [(i, np.array(v)) for i, v in rows if i is not None and v is not None and np.isfinite(v).all()]
+    sims = np.array([v for _, v in rows]) @ np.array([v for _, v in rows]).T
+    return Counter(
+        (rows[a][0], rows[b][0]) for a, b in np.argwhere(sims >= threshold) if rows[a][0] < rows[b][0]
+    )
+
+
+@pytest.mark.parametrize("method,block", [("cells", 20), ("cells", 5000), ("keys", 20)])
+def test_every_copy_is_paired(spark, method, block):
+    """A pair per pair of rows, also where the rows hold one vector or share their ids with others."""
+    rows = odd_rows(240, 8, 5)
+    df = spark.createDataFrame(rows, "id bigint, v array<float>")
+    how = {"id_col": "id", "vector": "v", "threshold": 0.9, "method": method, "block_rows": block}
+    got = similar_pairs(df, **how, every_copy=True)
+    want = every_pair(rows, 0.9)
+    assert Counter((r.left_id, r.right_id) for r in got.collect()) == want and max(want.values()) > 1
+    assert sum(want.values()) > 80 * 79 / 2
+
+    links = similarity_links(df, **how)
+    labels = {r[0]: r[1] for r in connected_labels(links.where("connects"), left="left_id", right="right_id").collect()}
+    assert labels == components(want)
+
+
+def test_similar_pairs_query_leaves_no_pair_out(spark, tmp_path):
+    """The query gives the rows of its SQL over a table with copies, repeated ids and missing values."""
+    rows = [(i, v, 0) for i, v in odd_rows(120, 64, 6) if v is None or not np.isnan(v).any()]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    df.coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert compare(spark, con, "similar_pairs", str(tmp_path)) is None
+
+
 def test_links_stay_linear_when_everything_is_close(spark):
     rng = np.random.default_rng(3)
     vectors = unit(np.ones((200, 8)) + rng.normal(scale=0.01, size=(200, 8)))

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import vector_queries
+from checks.registry import QUERIES
 from compare import compare
 from tidemark.functions.vectors import HashedEmbedder, ModelEmbedder, _row_slices, checked_vector, l2_normalize
 from tidemark.operators import retrieval, similarity
@@ -282,6 +283,34 @@ def test_cluster_queries_read_staged_links(spark, tmp_path):
     assert plan.startswith("Relation") and "FlatMapGroups" not in plan
 
 
+def test_cluster_summary_names_the_members(spark, tmp_path):
+    """Every member of every cluster with its page's title, largest cluster first; copies count."""
+    rows = [(i, v) for i, v in odd_rows(120, 64, 7) if v is None or not np.isnan(v).any()]
+    vectors = [(i, v, 0) for i, v in rows]
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>, label int").coalesce(1).write.parquet(
+        str(tmp_path / "embeddings.parquet")
+    )
+    pages = [(i, f"u{i}", "h") for i in range(0, 120, 2)] * 2  # odd pages are not stored
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = QUERIES["cluster_summary"](spark, str(tmp_path)).collect()
+
+    pairs = every_pair(rows, vector_queries.CLOSE)
+    labels = components(pairs)
+    by_id = {}
+    for i, v in rows:
+        by_id.setdefault(i, []).append(v)
+    best, size = {}, Counter(labels.values())
+    for a, b in pairs:
+        sim = max(float(np.dot(x, y)) for x in by_id[a] for y in by_id[b])
+        best[labels[a]] = max(best.get(labels[a], 0.0), sim)
+    want = sorted((-size[c], -best[c], c, i) for i, c in labels.items())
+    assert [(r.cluster_id, r.member_id) for r in got] == [(c, i) for _, _, c, i in want] and len(size) > 1
+    assert [r["size"] for r in got] == [-n for n, *_ in want]
+    assert [r.max_similarity for r in got] == pytest.approx([-s for _, s, *_ in want], abs=2e-5)
+    assert all(r.title == (None if r.member_id % 2 else f"page {r.member_id}") for r in got)
+    assert {r.member_id % 2 for r in got} == {0, 1}
+
+
 def test_connected_labels_on_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 200)] + [(1000, 999)], "a bigint, b bigint")
     labels = {r[0]: r[1] for r in connected_labels(edges, left="a", right="b").collect()}

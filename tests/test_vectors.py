@@ -274,6 +274,19 @@ def test_blocks_are_compared_in_tiles(monkeypatch):
     assert len(pairs) == len(want) and set(pairs) == want
 
 
+def test_a_tile_of_copies_is_listed_in_parts(monkeypatch):
+    """Every pair of 60 equal vectors comes once, at most 100 at a time."""
+    monkeypatch.setattr(similarity, "HELD_PAIRS", 100)
+    columns = {c: pa.array([0] * 60, pa.int32()) for c in ("kind", "i", "j", "side")}
+    block = pa.table(columns | {
+        "vector": pa.array([[0.6, 0.8]] * 60, pa.list_(pa.float32())), "cells": pa.array([[0]] * 60, pa.list_(pa.int32()))
+    })
+    found = list(similarity._close_pairs(block, 0.5))
+    pairs = [(int(a), int(b)) for left, right, _ in found for a, b in zip(left, right)]
+    assert all(len(left) <= 100 for left, _, _ in found)
+    assert len(pairs) == len(set(pairs)) == 60 * 59 / 2 and all(a < b for a, b in pairs)
+
+
 def test_cluster_queries_read_staged_links(spark, tmp_path):
     """The groups and the summary both read the links; the join itself runs once."""
     _, df = _many_cells(spark, n=60, dim=64)
